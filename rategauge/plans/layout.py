@@ -1,0 +1,33 @@
+"""Where a monthly run keeps its tables."""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+
+@dataclass(frozen=True)
+class Layout:
+    """All tables are Parquet and partitioned by the month of the run."""
+
+    root: str
+
+    def _table(self, name: str) -> str:
+        return f"{self.root.rstrip('/')}/{name}"
+
+    @property
+    def classified(self) -> str:
+        """Every record with its verdict; ``outcome`` parts accepted from rejected."""
+        return self._table("classified")
+
+    @property
+    def averages(self) -> str:
+        return self._table("avg_price")
+
+    @property
+    def top_priced(self) -> str:
+        """Over- and under-priced lists, parted by ``side``."""
+        return self._table("top_priced")
+
+    @property
+    def audit(self) -> str:
+        return self._table("run_audit")

@@ -1,0 +1,4 @@
+"""Nothing here: the work covered is batch only (monthly runs and backfills).
+
+Month-keyed reruns are in :mod:`rategauge.plans.monthly`.
+"""
