@@ -3,6 +3,7 @@
 from rategauge.functions.money import (
     amount_deviation,
     exact_mean,
+    has_positive_price,
     parse_price,
     percent_deviation,
 )
@@ -14,6 +15,7 @@ __all__ = [
     "as_date",
     "blank_to_null",
     "exact_mean",
+    "has_positive_price",
     "is_blank",
     "month_key",
     "parse_price",

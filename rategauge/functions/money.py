@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
-from pyspark.sql.types import DataType, NumericType
+from pyspark.sql.types import DataType, DoubleType, FloatType, IntegralType, NumericType
 
-from rategauge.functions.text import is_blank
 from rategauge.schemas import MONEY_DDL
 
 #: Characters dropped from price text before the number is read (fixed values).
@@ -17,14 +16,27 @@ def parse_price(price: Column, dtype: DataType) -> Column:
 
     Numeric columns are cast directly.  Text loses every ``$`` and ``,`` first;
     ``translate`` does that without a regular expression per row.  ``try_cast``
-    keeps one bad cell from ending a job in ANSI mode.
+    keeps one bad cell from ending a job in ANSI mode; it gives NULL for blank
+    text too.
     """
     if isinstance(dtype, NumericType):
         return price.try_cast(MONEY_DDL)
-    text = price.cast("string")
     # translate() drops the characters that have no counterpart in the last argument
-    number = F.translate(text, CURRENCY_MARKS, "").try_cast(MONEY_DDL)
-    return F.when(~is_blank(text), number)
+    return F.translate(price.cast("string"), CURRENCY_MARKS, "").try_cast(MONEY_DDL)
+
+
+def has_positive_price(price: Column, dtype: DataType) -> Column:
+    """True where :func:`parse_price` gives more than zero; false or NULL elsewhere.
+
+    For numbers this is a range test on the column itself, which reaches the
+    Parquet scan: half a cent is the least amount that rounds to a cent, and half
+    a cent above the largest decimal(10,2) no longer fits.
+    """
+    if isinstance(dtype, IntegralType):
+        return (price >= 1) & (price <= 99_999_999)
+    if isinstance(dtype, (DoubleType, FloatType)):
+        return (price >= 0.005) & (price < 99_999_999.995)
+    return parse_price(price, dtype) > 0
 
 
 def exact_mean(price_num: Column) -> Column:
