@@ -18,8 +18,8 @@ from rategauge.operators import (
     quality_totals,
     ranked_report,
     rejected,
-    top_both,
     top_k,
+    top_over_under,
 )
 from rategauge.operators.rank import OVER, UNDER
 from rategauge.plans import MonthlyRun, deviations, run_month, run_reports
@@ -128,8 +128,11 @@ def top_under(spark, sf_dir):
     return top_k(_diffs(spark, sf_dir), TOP, UNDER).select(*DIFF_COLUMNS)
 
 
-def top_over_under(spark, sf_dir):
-    return top_both(_diffs(spark, sf_dir), TOP).select("side", *DIFF_COLUMNS)
+def top_both_sides(spark, sf_dir):
+    over, under = top_over_under(_diffs(spark, sf_dir), TOP)
+    sides = ((OVER, over), (UNDER, under))
+    first, second = (df.select(F.lit(side).alias("side"), *DIFF_COLUMNS) for side, df in sides)
+    return first.unionByName(second)
 
 
 def top_over_monthly(spark, sf_dir):
@@ -324,7 +327,7 @@ def queries() -> dict[str, Query]:
         "price_diffs_split": price_diffs_split,
         "top_over": top_over,
         "top_under": top_under,
-        "top_over_under": top_over_under,
+        "top_over_under": top_both_sides,
         "top_over_monthly": top_over_monthly,
         "report_avg_all": report_avg_all,
         "report_avg_month": report_avg_month,

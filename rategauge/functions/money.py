@@ -39,6 +39,16 @@ def has_positive_price(price: Column, dtype: DataType) -> Column:
     return parse_price(price, dtype) > 0
 
 
+def cents(amount: Column) -> Column:
+    """Whole cents of a decimal(10,2) as bigint."""
+    return (amount * 100).cast("bigint")
+
+
+def from_cents(whole: Column) -> Column:
+    """Decimal(10,2) from whole cents, NULL if it does not fit."""
+    return (whole * F.lit("0.01").cast("decimal(3,2)")).try_cast(MONEY_DDL)
+
+
 def exact_mean(price_num: Column) -> Column:
     """Aggregate: mean of a decimal(10,2) column as decimal(10,2).
 
@@ -47,18 +57,34 @@ def exact_mean(price_num: Column) -> Column:
     same, stay exact, and give one answer however the data are split.  The mean
     is rounded half-up to 6 places, then to 2.
     """
-    cents = F.sum((price_num * 100).cast("bigint")).cast("decimal(19,0)")
+    total = F.sum(cents(price_num)).cast("decimal(19,0)")
     count = F.count(price_num).cast("decimal(19,0)")
-    mean_cents = F.round(F.round(F.try_divide(cents, count), 4), 0)
-    return (mean_cents * F.lit("0.01").cast("decimal(3,2)")).cast(MONEY_DDL)
+    return from_cents(F.round(F.round(F.try_divide(total, count), 4), 0))
 
 
 def amount_deviation(price_num: Column, average: Column) -> Column:
-    """Price minus average, decimal(10,2)."""
-    return F.round(price_num - average, 2).try_cast(MONEY_DDL)
+    """Price minus average, decimal(10,2); both have 2 places, so nothing is rounded."""
+    return (price_num - average).try_cast(MONEY_DDL)
+
+
+#: Averages (in cents) below which one rounding gives the same percentage as two.
+ONE_ROUNDING_BELOW = 1_000_000_000
 
 
 def percent_deviation(price_num: Column, average: Column) -> Column:
-    """Deviation in percent of the average, decimal(10,2); NULL if it does not fit."""
+    """Deviation in percent of the average, decimal(10,2); NULL if it does not fit.
+
+    Defined on decimals: the quotient is rounded half-up to 13 places, the
+    percentage to 2.  Long decimals leave the machine word and are slow, so the
+    common case divides whole cents instead.  A quotient of cents that is no
+    tie lies at least 1/(20000 * average) away from one, which below the bound
+    is more than the first rounding moves it; hence both ways agree.
+    """
+    base = cents(average)
+    gap = cents(price_num) - base
+    half = F.when(gap < 0, -base).otherwise(base)
+    # integer division drops the fraction, so half a unit is added away from zero
+    in_cents = from_cents(F.call_function("div", gap * 20_000 + half, base * 2))
     share = F.try_divide(price_num - average, average)
-    return F.round(share * 100, 2).try_cast(MONEY_DDL)
+    in_decimals = F.round(share * 100, 2).try_cast(MONEY_DDL)
+    return F.when((base > 0) & (base < ONE_ROUNDING_BELOW), in_cents).otherwise(in_decimals)

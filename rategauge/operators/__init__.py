@@ -3,7 +3,7 @@
 from rategauge.operators.clean import accepted, classify, prepare, rejected, split
 from rategauge.operators.metrics import average_prices, price_diffs
 from rategauge.operators.quality import quality_summary, quality_totals
-from rategauge.operators.rank import top_both, top_k, top_over_under
+from rategauge.operators.rank import top_k, top_over_under
 from rategauge.operators.report import (
     ALL_GROUPS,
     average_report,
@@ -29,7 +29,6 @@ __all__ = [
     "rejected",
     "show_report",
     "split",
-    "top_both",
     "top_k",
     "top_over_under",
 ]

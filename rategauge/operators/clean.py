@@ -78,8 +78,13 @@ def classify(df: DataFrame, roles: Roles = LISTING) -> DataFrame:
 
 
 def accepted(df: DataFrame, roles: Roles = LISTING) -> DataFrame:
-    """Records without a reject reason, prepared."""
-    return prepare(df.filter(usable(df, roles)), roles)
+    """Records without a reject reason, prepared.
+
+    Their month is never NULL.  The coalesce says so to Catalyst, which would
+    otherwise format every date a second time to test a join key for NULL.
+    """
+    month = F.coalesce(F.col("year_month"), F.lit(""))
+    return prepare(df.filter(usable(df, roles)), roles).withColumn("year_month", month)
 
 
 def rejected(df: DataFrame, roles: Roles = LISTING) -> DataFrame:

@@ -64,35 +64,12 @@ def top_over_under(
     roles: Roles = LISTING,
     partition_by: Sequence[str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """``(over, under)``, two independent plans."""
-    return (
-        top_k(diffs, k, OVER, roles, partition_by),
-        top_k(diffs, k, UNDER, roles, partition_by),
-    )
+    """``(over, under)``, two independent plans.
 
-
-def top_both(
-    diffs: DataFrame,
-    k: int,
-    roles: Roles = LISTING,
-    partition_by: Sequence[str] | None = None,
-) -> DataFrame:
-    """Both lists from one pass over ``diffs``, told apart by ``side``.
-
-    Each record enters once per side under a sort key of its own sign, so a
-    single window serves both and still gets cut before the shuffle.  Worth it
-    when ``diffs`` is costly to produce and both lists are written together.
+    Ranking both sides in one window would sort every record twice over, or
+    lose the cut before the shuffle; both measured slower than two plans.
     """
-    keys = list(partition_by or [roles.group])
-    signed = F.array(
-        F.struct(F.lit(OVER).alias("side"), F.col("pct_diff").alias("height")),
-        F.struct(F.lit(UNDER).alias("side"), (-F.col("pct_diff")).alias("height")),
-    )
-    order = [F.col("height").desc_nulls_last(), *tie_break(diffs, roles)]
-    window = Window.partitionBy("side", *keys).orderBy(*order)
     return (
-        diffs.select("*", F.inline(signed))
-        .withColumn("rank", F.row_number().over(window))
-        .filter(F.col("rank") <= int(k))
-        .drop("rank", "height")
+        top_k(diffs, k, OVER, roles, partition_by),
+        top_k(diffs, k, UNDER, roles, partition_by),
     )

@@ -75,7 +75,7 @@ def join_deviations(
     most = size.hot_groups(broadcast_bytes)
     if most < 1:
         return price_diffs(clean, averages, roles)
-    share = F.lit(size.listings / most)
+    share = size.listings // most
     hot = averages.filter(F.col("listing_count") > share)
     cold = averages.filter(F.col("listing_count") <= share)
     keys = ["year_month", roles.group]

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from rategauge.operators.clean import classify
 from rategauge.operators.metrics import average_prices
 from rategauge.operators.quality import quality_totals
-from rategauge.operators.rank import top_both
+from rategauge.operators.rank import OVER, UNDER, top_over_under
 from rategauge.operators.tracking import add_tracking, file_name_column
 from rategauge.plans.deviations import join_deviations
 from rategauge.plans.layout import Layout
@@ -116,16 +116,12 @@ def _store_averages(clean: DataFrame, run: MonthlyRun) -> None:
 
 
 def _store_top_priced(clean: DataFrame, averages: DataFrame, run: MonthlyRun) -> None:
-    """Both sides in one job; each keeps the file name of its record."""
-    diffs = join_deviations(clean, averages)
-    tops = _tracked(top_both(diffs, run.top_k), run, F.col("source_file"))
-    overwrite_partition(
-        tops.select(*RANKED_TABLE.names, SIDE),
-        run.layout.top_priced,
-        RUN_MONTH,
-        run.month,
-        partition_by=[SIDE],
-    )
+    """Each listed record keeps the file name it came with."""
+    tops = top_over_under(join_deviations(clean, averages), run.top_k)
+    of_month = f"{run.layout.top_priced}/{RUN_MONTH}={run.month}"
+    for side, top in zip((OVER, UNDER), tops):
+        tracked = _tracked(top, run, F.col("source_file"))
+        overwrite_partition(tracked.select(*RANKED_TABLE.names), of_month, SIDE, side)
 
 
 def run_month(spark: SparkSession, run: MonthlyRun) -> Layout:
