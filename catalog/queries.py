@@ -22,8 +22,8 @@ from rategauge.operators import (
     top_over_under,
 )
 from rategauge.operators.rank import OVER, UNDER
-from rategauge.plans import MonthlyRun, deviations, run_month, run_reports
-from rategauge.plans.scratch import scratch_path
+from rategauge.plans import MonthlyRun, deviations, join_deviations, run_month, run_reports
+from rategauge.plans.scratch import scratch_path, stored
 from rategauge.roles import LISTING, Roles
 from rategauge.schemas import (
     AVERAGE_CSV,
@@ -116,7 +116,9 @@ def price_diffs(spark, sf_dir):
 
 def price_diffs_split(spark, sf_dir):
     """The way taken when the averages are too many to broadcast."""
-    diffs = deviations(_clean(spark, sf_dir), broadcast_bytes=4096)
+    clean = _clean(spark, sf_dir)
+    averages = stored(average_prices(clean), "averages")
+    diffs = join_deviations(clean, averages, broadcast_bytes=200_000, tasks=1400)
     return diffs.select(*DIFF_COLUMNS)
 
 

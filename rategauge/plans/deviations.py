@@ -26,6 +26,7 @@ class AverageSize:
 
     groups: int
     listings: int
+    largest_group: int
     name_bytes: int
     longest_name: int
 
@@ -40,14 +41,16 @@ class AverageSize:
 
 def measure(averages: DataFrame, roles: Roles = LISTING) -> AverageSize:
     """Size of an average table; cheap on a stored one."""
-    name = F.octet_length(F.col(roles.group).cast("string"))
+    name = F.octet_length(F.col(roles.group).cast("string")).cast("bigint")
+    zero = F.lit(0)
     row = averages.agg(
         F.count("*").alias("groups"),
-        F.coalesce(F.sum("listing_count"), F.lit(0)).alias("listings"),
-        F.coalesce(F.sum(name.cast("bigint")), F.lit(0)).alias("name_bytes"),
-        F.coalesce(F.max(name), F.lit(0)).alias("longest_name"),
+        F.coalesce(F.sum("listing_count"), zero).alias("listings"),
+        F.coalesce(F.max("listing_count"), zero).alias("largest_group"),
+        F.coalesce(F.sum(name), zero).alias("name_bytes"),
+        F.coalesce(F.max(name), zero).alias("longest_name"),
     ).first()
-    return AverageSize(row.groups, row.listings, row.name_bytes, row.longest_name)
+    return AverageSize(**row.asDict())
 
 
 def join_deviations(
@@ -55,33 +58,40 @@ def join_deviations(
     averages: DataFrame,
     roles: Roles = LISTING,
     broadcast_bytes: int = BROADCAST_BYTES,
+    tasks: int | None = None,
 ) -> DataFrame:
     """:func:`~rategauge.operators.metrics.price_diffs` with a checked join.
 
-    ``averages`` should be stored: it is measured first.
+    ``averages`` should be stored: it is measured first.  ``tasks`` is how many
+    the shuffle is spread over, by default the session's shuffle partitions.
 
     * Fits ``broadcast_bytes``: it is broadcast, and the records are neither
       shuffled nor sorted.
-    * Does not fit: groups holding more than 1/N of the records are broadcast
-      and the rest is joined by shuffle.  Fewer than N groups can hold that
-      much, and N is chosen so that N of the longest names fit, which bounds
-      the broadcast; and no group left for the shuffle exceeds 1/N of the
-      records, which bounds every task.
+    * Does not fit, and no group is larger than one task's share of the records:
+      both sides are shuffled.  Each task holds its share of the averages in a
+      hash table if that surely fits, and sorts otherwise.
+    * Does not fit, and some groups are larger: these are broadcast, the rest is
+      shuffled as above.  Fewer than N groups can hold more than 1/N of the
+      records each, and N is chosen so that N of the longest names fit, which
+      bounds the broadcast.  No record is left out either way.
     """
     size = measure(averages, roles)
     if size.bytes <= broadcast_bytes:
         return price_diffs(clean, F.broadcast(averages), roles)
 
-    most = size.hot_groups(broadcast_bytes)
-    if most < 1:
-        return price_diffs(clean, averages, roles)
+    tasks = tasks or int(clean.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hint = "shuffle_hash" if size.bytes // tasks <= broadcast_bytes else "merge"
+    most = min(tasks, size.hot_groups(broadcast_bytes))
+    if most < 1 or size.largest_group <= size.listings // most:
+        return price_diffs(clean, averages.hint(hint), roles)
+
     share = size.listings // most
     hot = averages.filter(F.col("listing_count") > share)
     cold = averages.filter(F.col("listing_count") <= share)
     keys = ["year_month", roles.group]
     rest = clean.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
     return price_diffs(clean, F.broadcast(hot), roles).unionByName(
-        price_diffs(rest, cold.hint("merge"), roles)
+        price_diffs(rest, cold.hint(hint), roles)
     )
 
 
