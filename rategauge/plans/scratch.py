@@ -11,19 +11,19 @@ SETTING = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``.
+    """The folder in ``spark.checkpoint.dir``, or the one set on the context.
 
-    Only a local-mode session without the setting gets a folder of its own; on a
+    Only a local-mode session without either gets a folder of its own; on a
     cluster a machine-local folder would be lost with its machine.
     """
-    folder = spark.conf.get(SETTING, None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise RuntimeError(f"set {SETTING} to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="rategauge-")
-    spark.conf.set(SETTING, folder)
-    return folder
+    context = spark.sparkContext
+    folder = spark.conf.get(SETTING, None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise RuntimeError(f"set {SETTING} to a folder all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="rategauge-"))
+        folder = context.getCheckpointDir()
+    return folder.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

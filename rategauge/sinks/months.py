@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from rategauge.sinks.files import writing
 
@@ -33,28 +33,29 @@ def overwrite_partition(
 def overwrite_months(
     df: DataFrame, table: str, months: Iterable[str], column: str = "year_month"
 ) -> str:
-    """Replace the given months of a table partitioned by ``column`` in one job.
+    """Replace the given months of a table partitioned by ``column``.
 
     Rows of other months are not written.  Dynamic overwrite replaces the months
-    that have rows; a month that has none would keep its old directory, so it is
-    replaced by an empty one.  Which months had rows is observed during the
-    write itself.  ``rebalance`` gathers each month into few files and splits a
-    month too large for one.
+    that have rows, in one job; a month that has none would keep its old
+    directory, so it is replaced by an empty one.  ``rebalance`` gathers each
+    month into few files and splits a month too large for one.
+
+    ``df`` is read twice, once for its month column alone, so store it first if
+    it is costly to compute.
     """
     wanted = sorted(set(months))
-    seen = Observation()
-    rows = df.filter(F.col(column).isin(wanted)).observe(
-        seen, F.collect_set(column).alias("months")
-    )
-    with writing(table, "Parquet"):
-        (
-            rows.hint("rebalance", F.col(column))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(column)
-            .parquet(table)
-        )
-    filled = set(seen.get["months"])
+    rows = df.filter(F.col(column).isin(wanted))
+    # at most one row per wanted month comes back
+    filled = {row[0] for row in rows.select(column).distinct().collect()}
+    if filled:
+        with writing(table, "Parquet"):
+            (
+                rows.hint("rebalance", F.col(column))
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy(column)
+                .parquet(table)
+            )
     for month in wanted:
         if month not in filled:
             overwrite_partition(df.drop(column).limit(0), table, column, month)
