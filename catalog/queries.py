@@ -67,8 +67,13 @@ def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return accepted(listings(spark, sf_dir))
 
 
+def _stored_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The view is a join: stored once, it need not be joined again for each pass."""
+    return stored(_clean(spark, sf_dir), "clean")
+
+
 def _diffs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return deviations(_clean(spark, sf_dir))
+    return deviations(_stored_clean(spark, sf_dir))
 
 
 # -- cleaning ---------------------------------------------------------------
@@ -116,7 +121,7 @@ def price_diffs(spark, sf_dir):
 
 def price_diffs_split(spark, sf_dir):
     """The way taken when the averages are too many to broadcast."""
-    clean = _clean(spark, sf_dir)
+    clean = _stored_clean(spark, sf_dir)
     averages = stored(average_prices(clean), "averages")
     diffs = join_deviations(clean, averages, broadcast_bytes=200_000, tasks=1400)
     return diffs.select(*DIFF_COLUMNS)
@@ -203,7 +208,7 @@ def parquet_roundtrip(spark, sf_dir):
 def month_backfill(spark, sf_dir):
     """Store all months, rerun one twice, count what is there."""
     path = scratch_path(spark, "accepted_by_month")
-    clean = _clean(spark, sf_dir).select("id", LISTING.group, "price_num", "year_month")
+    clean = _stored_clean(spark, sf_dir).select("id", LISTING.group, "price_num", "year_month")
     write_parquet(clean.hint("rebalance", F.col("year_month")), path, ["year_month"])
     for _ in range(2):
         overwrite_months(clean, path, [MONTH])
@@ -216,7 +221,7 @@ def stored_avg_csv(spark, sf_dir):
     """Averages through the CSV exchange format, then the report."""
     path = scratch_path(spark, "avg_csv")
     tracked = add_tracking(avg_price(spark, sf_dir), "listings.csv", "batch_1")
-    write_csv(tracked.select(*AVERAGE_CSV.names), path, single_file=True)
+    write_csv(tracked.select(*AVERAGE_CSV.names), path)
     return average_report(read_average_table(spark, path, fmt="csv"), group=GROUP)
 
 
@@ -224,7 +229,7 @@ def stored_over_csv(spark, sf_dir):
     """Over-priced lists through the CSV exchange format, then the report."""
     path = scratch_path(spark, "over_csv")
     tops = add_tracking(top_k(_diffs(spark, sf_dir), TOP, OVER), "listings.csv", "batch_1")
-    write_csv(tops.select(*RANKED_CSV.names), path, single_file=True)
+    write_csv(tops.select(*RANKED_CSV.names), path)
     report = ranked_report(read_ranked_table(spark, path, OVER, fmt="csv"), 5, OVER)
     return report.select(*DIFF_COLUMNS, "rank")
 

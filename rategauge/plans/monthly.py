@@ -124,6 +124,14 @@ def _store_top_priced(clean: DataFrame, averages: DataFrame, run: MonthlyRun) ->
         overwrite_partition(tracked.select(*RANKED_TABLE.names), of_month, SIDE, side)
 
 
+def _audit_failure(spark: SparkSession, run: MonthlyRun, error: Exception) -> None:
+    """Record a failure without hiding it behind one of the audit's own."""
+    try:
+        append_audit(spark, run, FAILED, f"{type(error).__name__}: {error}")
+    except Exception as audit_error:
+        error.add_note(f"the audit row could not be written: {audit_error}")
+
+
 def run_month(spark: SparkSession, run: MonthlyRun) -> Layout:
     """Read, classify, average, rank and store one month; rerunning replaces it.
 
@@ -150,7 +158,7 @@ def run_month(spark: SparkSession, run: MonthlyRun) -> Layout:
         )
         append_audit(spark, run, SUCCESS, "completed", counts)
     except Exception as error:
-        append_audit(spark, run, FAILED, f"{type(error).__name__}: {error}")
+        _audit_failure(spark, run, error)
         raise
     return layout
 

@@ -107,6 +107,14 @@ def test_failure_is_audited_and_raised(spark, tmp_path, problem, kind):
     assert snapshot(spark, layout) == before
 
 
+def test_failing_audit_does_not_hide_the_failure(spark, tmp_path):
+    blocker = tmp_path / "file"
+    blocker.write_text("not a directory")
+    with pytest.raises(RuntimeError, match="failed to write") as caught:
+        run_month(spark, run(january(tmp_path), f"{blocker}/out"))
+    assert any("audit" in note for note in caught.value.__notes__)
+
+
 def test_reports(spark, tmp_path, capsys):
     root = run_month(spark, run(january(tmp_path), tmp_path / "out")).root
     reports = run_reports(spark, root, "2025-01", "soho", 1)
