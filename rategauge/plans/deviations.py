@@ -13,8 +13,11 @@ from rategauge.roles import LISTING, Roles
 #: Largest table sent whole to every executor.
 BROADCAST_BYTES = 64 * 1024 * 1024
 
-#: Memory of one average row next to its group name, rounded up.
-ROW_BYTES = 128
+#: Memory of one average row in a hash table, less its group name; rounded up.
+ROW_BYTES = 192
+
+#: A hash table holds the name twice, in the key and in the row.
+NAME_COPIES = 2
 
 #: Most groups ever treated as hot.
 MAX_HOT_GROUPS = 20_000
@@ -32,11 +35,11 @@ class AverageSize:
 
     @property
     def bytes(self) -> int:
-        return self.groups * ROW_BYTES + self.name_bytes
+        return self.groups * ROW_BYTES + NAME_COPIES * self.name_bytes
 
     def hot_groups(self, budget: int) -> int:
         """How many of the longest names surely fit into ``budget``."""
-        return min(MAX_HOT_GROUPS, budget // (ROW_BYTES + self.longest_name))
+        return min(MAX_HOT_GROUPS, budget // (ROW_BYTES + NAME_COPIES * self.longest_name))
 
 
 def measure(averages: DataFrame, roles: Roles = LISTING) -> AverageSize:
@@ -75,6 +78,8 @@ def join_deviations(
       records each, and N is chosen so that N of the longest names fit, which
       bounds the broadcast.  No record is left out either way.
     """
+    # further columns would escape the measured size
+    averages = averages.select("year_month", roles.group, "listing_count", "avg_price")
     size = measure(averages, roles)
     if size.bytes <= broadcast_bytes:
         return price_diffs(clean, F.broadcast(averages), roles)

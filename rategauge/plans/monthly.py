@@ -37,7 +37,11 @@ FAILED = "FAILED"
 
 @dataclass(frozen=True)
 class MonthlyRun:
-    """One run: what it reads, where it writes, how it is labelled."""
+    """One run: what it reads, where it writes, how it is labelled.
+
+    ``list_per_month`` ranks each data month of the file by itself; otherwise
+    all its months share one list of ``top_k`` per group.
+    """
 
     month: str
     path: str
@@ -45,6 +49,7 @@ class MonthlyRun:
     run_name: str
     run_type: str = "scheduled"
     top_k: int = 10
+    list_per_month: bool = False
     multi_line: bool = True
     started: datetime | None = None
 
@@ -117,7 +122,8 @@ def _store_averages(clean: DataFrame, run: MonthlyRun) -> None:
 
 def _store_top_priced(clean: DataFrame, averages: DataFrame, run: MonthlyRun) -> None:
     """Each listed record keeps the file name it came with."""
-    tops = top_over_under(join_deviations(clean, averages), run.top_k)
+    keys = ["year_month", LISTING.group] if run.list_per_month else [LISTING.group]
+    tops = top_over_under(join_deviations(clean, averages), run.top_k, partition_by=keys)
     of_month = f"{run.layout.top_priced}/{RUN_MONTH}={run.month}"
     for side, top in zip((OVER, UNDER), tops):
         tracked = _tracked(top, run, F.col("source_file"))

@@ -55,6 +55,12 @@ def test_tables_of_a_run(spark, tmp_path):
         ("2025-01", "SUCCESS", 6, 3, 3, 1), ("2025-02", "SUCCESS", 1, 1, 0, 0)]
 
 
+def test_list_per_month(spark, tmp_path):
+    one = run(january(tmp_path), tmp_path / "out", top_k=1, list_per_month=True)
+    layout = run_month(spark, one)
+    assert rows(read_ranked_table(spark, layout.top_priced, "over"), "id") == [("2",), ("3",), ("7",)]
+
+
 def snapshot(spark, layout):
     drop = "processing_timestamp"
     return [
