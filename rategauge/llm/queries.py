@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rategauge.llm import quality
+from rategauge.llm import minhash, quality
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_minhash_dedup(spark, sf_dir):
+    """Components of documents whose 2-word shingle sets are 80 % alike."""
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"), words=2, percent=80)
+
+
 def op10_quality_rules(spark, sf_dir):
     """Measurements, the failure mask and the verdict of the standard policy."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -29,6 +34,7 @@ def op10_quality_rules(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_minhash_dedup": op1_minhash_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
 
