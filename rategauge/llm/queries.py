@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rategauge.llm import minhash, quality
+from rategauge.llm import oracles, minhash, mixing, quality, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +16,19 @@ def op1_minhash_dedup(spark, sf_dir):
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), words=2, percent=80)
 
 
+def op6_url_filters(spark, sf_dir):
+    """Rules first, then the learnt path templates. A page is labelled by the row of its id."""
+    pages = _table(spark, sf_dir, "pages")
+    bad = ((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("int")
+    labels = _table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), bad.alias("bad"))
+    return urls.judged_urls(pages, labels)
+
+
+def op7_mixing(spark, sf_dir):
+    """Words each document gives to a mix of sources weighing 5, 2, 1, repeating."""
+    return mixing.mixture(_table(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark, sf_dir):
     """Measurements, the failure mask and the verdict of the standard policy."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -35,7 +48,9 @@ def op10_quality_rules(spark, sf_dir):
 
 QUERIES = {
     "op1_minhash_dedup": op1_minhash_dedup,
+    "op6_url_filters": op6_url_filters,
+    "op7_mixing": op7_mixing,
     "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = oracles.ORACLES
