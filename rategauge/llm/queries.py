@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rategauge.llm import oracles, minhash, mixing, quality, urls
+from rategauge.llm import minhash, mixing, oracles, pieces, quality, urls
+
+#: Where the public vocabulary is; every executor can read it.
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +19,11 @@ def op1_minhash_dedup(spark, sf_dir):
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), words=2, percent=80)
 
 
+def op3_sentencepiece(spark, sf_dir):
+    """Ids of every whole text, and whether they decode to it."""
+    return pieces.encoded(_table(spark, sf_dir, "documents"), PIECE_MODEL)
+
+
 def op6_url_filters(spark, sf_dir):
     """Rules first, then the learnt path templates. A page is labelled by the row of its id."""
     pages = _table(spark, sf_dir, "pages")
@@ -48,6 +56,7 @@ def op10_quality_rules(spark, sf_dir):
 
 QUERIES = {
     "op1_minhash_dedup": op1_minhash_dedup,
+    "op3_sentencepiece": op3_sentencepiece,
     "op6_url_filters": op6_url_filters,
     "op7_mixing": op7_mixing,
     "op10_quality_rules": op10_quality_rules,
