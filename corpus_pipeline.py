@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rategauge.llm import quality
+from rategauge.llm import minhash, mixing, pieces, pii, quality
+from rategauge.llm.queries import PIECE_MODEL
 from rategauge.plans.scratch import stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -16,12 +17,40 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the standard policy keeps."""
-    entries = quality.ledger(docs)
+    entries = quality.ledger(docs.select(*COLUMNS))
     return entries.where(quality.kept(quality.STANDARD)).select(*COLUMNS)
 
 
+def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-copies: five-word shingles, similarity 0.8."""
+    docs = docs.select(*COLUMNS)
+    groups = minhash.near_duplicates(docs, words=5, percent=80)
+    gone = groups.where("NOT kept").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+
+
+def pii_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data replaced by the name of its kind; n_chars follows."""
+    clean = pii.redacted(docs.select(*COLUMNS))
+    return clean.withColumn("n_chars", F.length("text").cast("long"))
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as the mix of its source takes it."""
+    return mixing.mixed(docs.select(*COLUMNS)).select(*COLUMNS)
+
+
+def sentencepiece_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``(doc_id, n_ids, ids, round_trip)`` of every document of the mix."""
+    return pieces.encoded(docs, PIECE_MODEL)
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", quality_rules),
+    ("minhash_near_dedup", minhash_near_dedup),
+    ("pii_redaction", pii_redaction),
+    ("source_mixing", source_mixing),
+    ("sentencepiece_ids", sentencepiece_ids),
 ]
 
 

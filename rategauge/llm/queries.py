@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rategauge.llm import minhash, mixing, oracles, pieces, quality, urls
+from rategauge.llm import minhash, mixing, oracles, pieces, pii, quality, urls
 
 #: Where the public vocabulary is; every executor can read it.
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -24,6 +24,11 @@ def op3_sentencepiece(spark, sf_dir):
     return pieces.encoded(_table(spark, sf_dir, "documents"), PIECE_MODEL)
 
 
+def op5_pii(spark, sf_dir):
+    """Counts and places of personal data in every whole text."""
+    return pii.found(_table(spark, sf_dir, "documents"))
+
+
 def op6_url_filters(spark, sf_dir):
     """Rules first, then the learnt path templates. A page is labelled by the row of its id."""
     pages = _table(spark, sf_dir, "pages")
@@ -57,6 +62,7 @@ def op10_quality_rules(spark, sf_dir):
 QUERIES = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op3_sentencepiece": op3_sentencepiece,
+    "op5_pii": op5_pii,
     "op6_url_filters": op6_url_filters,
     "op7_mixing": op7_mixing,
     "op10_quality_rules": op10_quality_rules,
