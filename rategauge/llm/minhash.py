@@ -11,11 +11,11 @@ With 40 bands of 5 rows a pair at similarity 0.8 meets in some band with probabi
 1 - (1 - 0.8 ** 5) ** 40 = 1 - 1.2e-7; above that, more surely still.
 
 Scale. Texts with equal sets are one class, and only its smallest id goes on. A band's bucket is
-never brought into one task and never paired out: each round compares every member with one pivot of
-the bucket, links give components, and only buckets whose members are still in different components
-go on. When few pairs across components are left in them they are all compared. So a bucket of
-near-copies costs as many comparisons as it has members. Joins have one row per key on one side; a
-hot key is split by AQE.
+never brought into one task and its pairs are never rows: first every member is compared with one
+pivot of the bucket, and links give components. Buckets whose members are then in different
+components are dealt into blocks, and only pairs across components are compared in them, by
+signature in memory; those that agree enough are confirmed on their full sets. Joins have one row per
+key on one side; a hot key is split by AQE.
 
 Defined results: null and empty texts, and texts of blanks, have no shingles and are linked with
 nothing; a text with fewer words than ``words`` is one shingle; rows that repeat are in one component;
@@ -37,8 +37,12 @@ from rategauge.plans.scratch import stored
 
 UNIVERSE = 1 << 22
 BANDS, ROWS = 40, 5
-#: Remaining pairs are compared at once when they are at most this many per row of the band table.
-PAIRS_PER_ROW = 2
+#: Coordinates of the closer look at pairs across components, and how far below the similarity, in
+#: standard deviations of their share, a pair is still confirmed on its sets (one in three million
+#: pairs just at the similarity lies lower).
+SKETCH, SIGMAS = 1024, 5
+#: Members of a bucket that one task compares: so many outsiders with so many members.
+BLOCK, CHUNK = 256, 2048
 
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
@@ -122,6 +126,22 @@ def signatures(
     return source.mapInArrow(run, schema)
 
 
+def sketches(texts: DataFrame, words: int) -> DataFrame:
+    """``(id, coordinates)``: one byte of each of ``SKETCH`` coordinates, for a closer look."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        maker = None
+        for batch in pieces(batches):
+            maker = maker or Circulant(SKETCH, seed=8)
+            out = []
+            for shingles in shingled(batch.column("text"), words):
+                values = maker.signature(shingles) * np.uint32(2654435761) >> np.uint32(24)
+                out.append(values.astype(np.uint8).tobytes())
+            yield pa.record_batch([batch.column("id"), pa.array(out, pa.binary())], names=["id", "coordinates"])
+
+    return texts.select("id", "text").mapInArrow(run, "id long, coordinates binary")
+
+
 def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs ``(a, b)`` whose full sets reach the similarity."""
 
@@ -141,9 +161,82 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
     return joined.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long").distinct()
 
 
-def _close(n: str, m: str, percent: int):
-    """Sets of so different sizes cannot reach the similarity."""
-    return F.expr(f"100 * least({n}, {m}) >= {percent} * greatest({n}, {m})")
+def _across(named: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Pairs ``(a, b)`` of one bucket and different labels whose signatures may reach the similarity.
+
+    ``named`` is ``(key, id, label)``. Of a bucket's labels the largest is its main one, and every
+    pair to compare has an outsider to that. Outsiders are dealt into blocks and all members into
+    chunks; a block meets every chunk of its bucket in some task, which compares the two in memory and
+    gives out only pairs that agree in enough coordinates of a longer signature. So no group is bounded by a task's memory and pairs that fail are never rows.
+    """
+    sizes = named.groupBy("key", "label").count()
+    mixed = sizes.groupBy("key").agg(
+        F.count("*").alias("labels"),
+        F.sum("count").alias("all"),
+        F.max(F.struct(F.col("count"), F.col("label"))).alias("main"),
+    )
+    mixed = mixed.where("labels > 1").select(
+        "key",
+        F.col("main.label").alias("main"),
+        F.ceil(F.col("all") / CHUNK).cast("int").alias("chunks"),
+        F.ceil((F.col("all") - F.col("main.count")) / BLOCK).cast("int").alias("blocks"),
+    )
+    opened = stored(named.join(mixed, "key").withColumn("out", F.col("label") != F.col("main")), "open")
+    need = texts.join(opened.select("id").distinct(), "id", "left_semi")
+    marked = opened.join(stored(sketches(need, words), "sketches"), "id")
+    draw = F.xxhash64("id")
+    chunk, block = F.pmod(draw, F.col("chunks")), F.pmod(draw, F.col("blocks"))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    columns = ["key", "chunk", "block", "out", "id", "label", "coordinates"]
+    inner = marked.withColumn("chunk", chunk.cast("int")).withColumn("block", every("blocks"))
+    outer = marked.where("out").withColumn("block", block.cast("int")).withColumn("chunk", every("chunks"))
+    inner = inner.withColumn("out", F.lit(False))
+    dealt = outer.select(columns).unionByName(inner.select(columns))
+    dealt = dealt.repartition("key", "chunk", "block").sortWithinPartitions("key", "chunk", "block", "out")
+    p = percent / 100
+    enough = int(np.floor(SKETCH * p - SIGMAS * np.sqrt(SKETCH * p * (1 - p))))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches):
+            ids = group.column("id").to_numpy()
+            labels = group.column("label").to_numpy()
+            outs = group.column("out").to_numpy(zero_copy_only=False)
+            flat = b"".join(group.column("coordinates").to_pylist())
+            marks = np.frombuffer(flat, np.uint8).reshape(len(ids), SKETCH)
+            mine, theirs = np.flatnonzero(outs), np.flatnonzero(~outs)
+            left, right = [], []
+            for i in mine:
+                rivals = theirs[labels[theirs] != labels[i]]
+                alike = rivals[(marks[rivals] == marks[i]).sum(axis=1) >= enough]
+                left.append(np.minimum(ids[alike], ids[i]))
+                right.append(np.maximum(ids[alike], ids[i]))
+            if left:
+                yield pa.record_batch(
+                    [pa.array(np.concatenate(left)), pa.array(np.concatenate(right))], names=["a", "b"]
+                )
+
+    return dealt.mapInArrow(run, "a long, b long").distinct()
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Runs of rows with one (key, chunk, block), also across batches."""
+    names = ("key", "chunk", "block")
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        at = np.stack([batch.column(c).to_numpy() for c in names])
+        cuts = [0, *(np.flatnonzero((at[:, 1:] != at[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            now = tuple(at[:, a])
+            if now != last and held:
+                yield pa.Table.from_batches(held).combine_chunks()
+                held = []
+            held.append(batch.slice(a, b - a))
+            last = now
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
 
 
 def near_duplicates(
@@ -172,48 +265,21 @@ def near_duplicates(
     source = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
     texts = stored(source.join(need, "id", "left_semi"), "candidates")
 
-    pairs = members.where(F.col("id") != F.col("p.id")).where(_close("n", "p.n", percent))
+    # Sets of too different sizes cannot reach the similarity.
+    close = F.expr(f"100 * least(n, p.n) >= {percent} * greatest(n, p.n)")
+    pairs = members.where(F.col("id") != F.col("p.id")).where(close)
     pairs = pairs.select(F.col("p.id").alias("a"), F.col("id").alias("b")).distinct()
     links = stored(confirmed(pairs, texts, words, percent), "links")
     labels = components(links)
 
-    budget = PAIRS_PER_ROW * max(band_rows.count(), 1)
-    members = members.where("c > 2 AND id <> p.id").select("key", "id", "n")
-    while True:
-        labels = stored(labels, "labels")
-        named = members.join(labels, "id", "left").select(
-            "key", "id", "n", F.coalesce("component", "id").alias("label")
-        )
-        sizes = named.groupBy("key", "label").agg(F.count("*").cast("double").alias("s"))
-        across = (F.sum("s") * F.sum("s") - F.sum(F.col("s") * F.col("s"))) / 2
-        mixed = sizes.groupBy("key").agg(
-            F.count("*").alias("labels"), F.max("label").alias("top"), across.alias("pairs")
-        )
-        mixed = stored(mixed.where("labels > 1").select("key", "top", "pairs"), "mixed")
-        pairs_left = mixed.agg(F.sum("pairs")).first()[0]
-        if not pairs_left:
-            break
-        named = stored(named.join(mixed.select("key", "top"), "key"), "named")
-        last = pairs_left <= budget
-        if last:
-            against, order = named, F.col("id") < F.col("a")
-        else:
-            against = named.where("label = top").groupBy("key").agg(
-                F.min(F.struct("id", "n", "label")).alias("p")
-            )
-            against, order = against.select("key", "p.*"), F.lit(True)
-        other = against.select(
-            "key", F.col("id").alias("a"), F.col("n").alias("m"), F.col("label").alias("l")
-        )
-        found = named.join(other, "key").where(order & (F.col("label") != F.col("l")))
-        pairs = found.where(_close("n", "m", percent)).select("a", F.col("id").alias("b"))
-        more = confirmed(pairs.distinct(), texts, words, percent)
-        links = links.unionByName(stored(more, "links"))
-        labels = components(links)
-        if last:
-            break
-        done = other.select("key", F.col("a").alias("id"))
-        members = named.join(done, ["key", "id"], "left_anti").select("key", "id", "n")
+    # Buckets whose members are not all in one component yet: the pivot is done, the rest is compared.
+    members = members.where("c > 2 AND id <> p.id").select("key", "id")
+    named = members.join(stored(labels, "labels"), "id", "left").select(
+        "key", "id", F.coalesce("component", "id").alias("label")
+    )
+    pairs = _across(named, texts, words, percent)
+    more = stored(confirmed(pairs, texts, words, percent), "links")
+    labels = components(links.unionByName(more))
 
     labels = stored(labels, "labels")
     found = (
