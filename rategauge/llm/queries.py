@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rategauge.llm import minhash, mixing, oracles, pieces, pii, quality, urls
+from rategauge.llm import html, minhash, mixing, oracles, pieces, pii, quality, syncmers, urls
 
 #: Where the public vocabulary is; every executor can read it.
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -42,6 +42,16 @@ def op7_mixing(spark, sf_dir):
     return mixing.mixture(_table(spark, sf_dir, "documents"))
 
 
+def op8_fingerprints(spark, sf_dir):
+    """Each document's fingerprint, that of its edited text, and likenesses."""
+    return syncmers.fingerprints(_table(spark, sf_dir, "documents"))
+
+
+def op9_html_extraction(spark, sf_dir):
+    """Main text of every page."""
+    return html.extracted(_table(spark, sf_dir, "pages"))
+
+
 def op10_quality_rules(spark, sf_dir):
     """Measurements, the failure mask and the verdict of the standard policy."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -65,6 +75,8 @@ QUERIES = {
     "op5_pii": op5_pii,
     "op6_url_filters": op6_url_filters,
     "op7_mixing": op7_mixing,
+    "op8_fingerprints": op8_fingerprints,
+    "op9_html_extraction": op9_html_extraction,
     "op10_quality_rules": op10_quality_rules,
 }
 
