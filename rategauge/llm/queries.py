@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rategauge.llm import html, minhash, mixing, oracles, pieces, pii, quality, syncmers, urls
+from rategauge.llm import html, minhash, mixing, oracles, pieces, pii, quality, suffix_levels, suffix_trees, syncmers, urls
 
 #: Where the public vocabulary is; every executor can read it.
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -19,6 +19,16 @@ def op1_minhash_dedup(spark, sf_dir):
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), words=2, percent=80)
 
 
+def op2_suffix_array_dedup(spark, sf_dir):
+    """What is left of each text without its repeated 400-byte strings."""
+    return suffix_levels.deduplicated(_table(spark, sf_dir, "documents"))
+
+
+def op4_substring_dedup(spark, sf_dir):
+    """What is left of each text without its repeated 35-word windows."""
+    return suffix_trees.deduplicated(_table(spark, sf_dir, "documents"))
+
+
 def op3_sentencepiece(spark, sf_dir):
     """Ids of every whole text, and whether they decode to it."""
     return pieces.encoded(_table(spark, sf_dir, "documents"), PIECE_MODEL)
@@ -71,6 +81,8 @@ def op10_quality_rules(spark, sf_dir):
 
 QUERIES = {
     "op1_minhash_dedup": op1_minhash_dedup,
+    "op2_suffix_array_dedup": op2_suffix_array_dedup,
+    "op4_substring_dedup": op4_substring_dedup,
     "op3_sentencepiece": op3_sentencepiece,
     "op5_pii": op5_pii,
     "op6_url_filters": op6_url_filters,
