@@ -1,0 +1,49 @@
+from __future__ import annotations
+
+import pytest
+
+WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau".split()
+
+
+def prose(seed: int, n: int) -> str:
+    """Words that hardly repeat in order."""
+    return " ".join(WORDS[(seed * 7 + i * i * 3 + i * seed) % 19] + str((seed * 31 + i) % 97) for i in range(n))
+
+
+BASE = prose(1, 120)
+EDGES = [
+    (1, BASE, "en", "a", 1),
+    (2, BASE, "en", "a", 1),  # an exact copy
+    (2, BASE, "en", "a", 1),  # a row that repeats
+    (3, BASE.replace("alpha", "omega", 1) + " tail", "en", None, None),  # a near copy
+    (4, None, None, None, None),
+    (5, "", "en", "b", 0),
+    (6, " \t\n\r ", "en", "b", 5),
+    (7, "one", "en", "b", 3),
+    (8, "é▁\U0001F600 a  b\n", "fr", "c", 9),
+    (9, prose(2, 6000), "en", "c", 1),  # long
+    (10, "x" * 5000, "en", "c", 1),  # one long word that repeats itself
+    (11, prose(3, 60) + "\n" + prose(3, 60), "en", "c", 1),
+    (None, prose(4, 50), "en", "d", 1),
+    (12, "mail a.b@example.org now, ip 10.0.0.1, card 4111 1111 1111 1111, call +1 (555) 123-4567", "en", "d", 1),
+]
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+#: Columns named like those the operators make.
+CLASHES = "id key size hash h c s e part copy n kept words failures taken spans ids template".split()
+
+
+@pytest.fixture(scope="session")
+def edges(spark):
+    return spark.createDataFrame(EDGES, SCHEMA).repartition(3)
+
+
+@pytest.fixture(scope="session")
+def clashing(edges):
+    from pyspark.sql import functions as F
+
+    return edges.withColumns({name: F.lit("x") for name in CLASHES})
+
+
+@pytest.fixture(scope="session")
+def nothing(spark):
+    return spark.createDataFrame([], SCHEMA)
