@@ -138,25 +138,31 @@ def segment_table(source: DataFrame, tokens: Tokens) -> DataFrame:
 
 
 def counted(rows: DataFrame) -> DataFrame:
-    """``(h, c, n, rep)``: how often each context occurs, and one place of it."""
-    return rows.groupBy("h", "c").agg(F.count("*").alias("n"), F.min(F.struct("id", "th", "s")).alias("rep"))
+    """``(h, c, n, rep)``: how often each context occurs, and the least hash of its places."""
+    return rows.groupBy("h", "c").agg(F.count("*").alias("n"), F.min(_place()).alias("rep"))
+
+
+def _place() -> Column:
+    return F.xxhash64("id", "th", "s")
 
 
 def removed(source: DataFrame, rows: DataFrame, groups: DataFrame, tokens: Tokens) -> DataFrame:
     """``(id, th, n, n_removed, n_spans, kept_sha256)`` of every distinct key of ``source``."""
     contexts = groups.groupBy("h").agg(F.count("*").alias("k"), F.max("n").alias("most")).where("k > 1 OR most > 1")
     status = groups.join(contexts.select("h", "k"), "h").where("k > 1 OR n > 1")
+    status = stored(status.select("h", "c", (F.col("n") > 1).alias("dup"), (F.col("k") > 1).alias("open"), "rep"), "status")
     marks = rows.join(status, ["h", "c"]).select(
         "id",
         "th",
         F.struct(
             "s",
             "e",
-            (F.col("n") > 1).alias("dup"),
-            ((F.col("k") > 1) & (F.struct("id", "th", "s") == F.col("rep"))).alias("lay"),
+            "dup",
+            (F.col("open") & (_place() == F.col("rep"))).alias("lay"),
         ).alias("m"),
     )
     per_doc = marks.where("m.dup OR m.lay").groupBy(*KEY).agg(F.collect_list("m").alias("marks"))
+    per_doc = stored(per_doc, "marks")
     marked = stored(source.join(per_doc, list(KEY)), "marked")
 
     def laid(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,9 +186,9 @@ def removed(source: DataFrame, rows: DataFrame, groups: DataFrame, tokens: Token
     ranges = F.filter("marks", lambda m: m["lay"])
     opened = marked.withColumn("starts", ranges).where("size(starts) > 0").dropDuplicates(list(KEY))
     out = opened.select("id", "th", "text", "starts").mapInArrow(laid, "g long, id long, th long, pos long")
-    out = stored(out, "windows")
     twice = out.groupBy("g").count().where("count > 1").select("g")
     hits = out.join(twice, "g").groupBy(*KEY).agg(F.collect_list("pos").alias("hits"))
+    hits = stored(hits, "hits")  # the windows themselves are made twice rather than kept
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):

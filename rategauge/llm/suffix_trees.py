@@ -37,6 +37,5 @@ def deduplicated(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Dat
     """``(id, n_words, n_removed, kept_sha256)`` of every row, with ``n_spans``."""
     source = repeats.keyed(docs, id, text)
     rows = stored(repeats.segment_table(source, WORDS), "suffixes")
-    nodes = stored(repeats.counted(rows), "nodes")
-    out = repeats.removed(source, rows, nodes, WORDS)
+    out = repeats.removed(source, rows, repeats.counted(rows), WORDS)
     return out.withColumnRenamed("n", "n_words").withColumnRenamed("id", id)
