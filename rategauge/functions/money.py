@@ -57,9 +57,13 @@ def exact_mean(price_num: Column) -> Column:
     Spark turns ``avg`` over short decimals into double arithmetic, whose last
     bits depend on the order of partial sums.  Whole cents in a bigint cost the
     same, stay exact, and give one answer however the data are split.  The mean
-    is rounded half-up to 6 places, then to 2.
+    is rounded half-up to 6 places, then to 2.  A sum beyond 9.2e18 cents ends
+    the job, with ANSI mode on or off: it never wraps.
     """
-    total = F.sum(cents(price_num)).cast("decimal(19,0)")
+    exact = F.try_sum(cents(price_num))
+    lost = exact.isNull() & (F.count(price_num) > 0)
+    failure = F.raise_error(F.lit("a group's prices add up to more than a bigint of cents"))
+    total = F.when(lost, failure.cast("bigint")).otherwise(exact).cast("decimal(19,0)")
     count = F.count(price_num).cast("decimal(19,0)")
     return from_cents(F.round(F.round(F.try_divide(total, count), 4), 0))
 

@@ -20,6 +20,14 @@ def _in_month(df: DataFrame, month: str | None) -> DataFrame:
     return df.filter(F.col("year_month") == month) if month else df
 
 
+def of_month_and_group(
+    df: DataFrame, month: str | None, group: str | None, roles: Roles = LISTING
+) -> DataFrame:
+    """Rows of the month and of the group (any case); no filter where none is named."""
+    chosen = _in_month(df, month)
+    return chosen.filter(same_text(F.col(roles.group), group)) if _one_group(group) else chosen
+
+
 def average_report(
     averages: DataFrame,
     month: str | None = None,
@@ -27,9 +35,7 @@ def average_report(
     roles: Roles = LISTING,
 ) -> DataFrame:
     """``year_month, <group>, avg_price``, dearest first."""
-    chosen = _in_month(averages, month)
-    if _one_group(group):
-        chosen = chosen.filter(same_text(F.col(roles.group), group))
+    chosen = of_month_and_group(averages, month, group, roles)
     return chosen.select("year_month", roles.group, "avg_price").orderBy(
         F.desc("avg_price"), "year_month", roles.group
     )

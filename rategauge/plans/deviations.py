@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from rategauge.operators.metrics import average_prices, price_diffs
+from rategauge.operators.report import of_month_and_group
 from rategauge.plans.scratch import stored
 from rategauge.roles import LISTING, Roles
 
@@ -19,9 +20,6 @@ ROW_BYTES = 192
 #: A hash table holds the name twice, in the key and in the row.
 NAME_COPIES = 2
 
-#: Most groups ever treated as hot.
-MAX_HOT_GROUPS = 20_000
-
 
 @dataclass(frozen=True)
 class AverageSize:
@@ -31,27 +29,29 @@ class AverageSize:
     listings: int
     largest_group: int
     name_bytes: int
-    longest_name: int
 
     @property
     def bytes(self) -> int:
         return self.groups * ROW_BYTES + NAME_COPIES * self.name_bytes
 
-    def hot_groups(self, budget: int) -> int:
-        """How many of the longest names surely fit into ``budget``."""
-        return min(MAX_HOT_GROUPS, budget // (ROW_BYTES + NAME_COPIES * self.longest_name))
+
+def _row_bytes(roles: Roles) -> Column:
+    return NAME_COPIES * F.coalesce(_name_bytes(roles), F.lit(0)) + ROW_BYTES
+
+
+def _name_bytes(roles: Roles) -> Column:
+    return F.octet_length(F.col(roles.group).cast("string")).cast("bigint")
 
 
 def measure(averages: DataFrame, roles: Roles = LISTING) -> AverageSize:
     """Size of an average table; cheap on a stored one."""
-    name = F.octet_length(F.col(roles.group).cast("string")).cast("bigint")
+    name = _name_bytes(roles)
     zero = F.lit(0)
     row = averages.agg(
         F.count("*").alias("groups"),
         F.coalesce(F.sum("listing_count"), zero).alias("listings"),
         F.coalesce(F.max("listing_count"), zero).alias("largest_group"),
         F.coalesce(F.sum(name), zero).alias("name_bytes"),
-        F.coalesce(F.max(name), zero).alias("longest_name"),
     ).first()
     return AverageSize(**row.asDict())
 
@@ -61,22 +61,20 @@ def join_deviations(
     averages: DataFrame,
     roles: Roles = LISTING,
     broadcast_bytes: int = BROADCAST_BYTES,
-    tasks: int | None = None,
 ) -> DataFrame:
     """:func:`~rategauge.operators.metrics.price_diffs` with a checked join.
 
-    ``averages`` should be stored: it is measured first.  ``tasks`` is how many
-    the shuffle is spread over, by default the session's shuffle partitions.
+    ``averages`` should be stored: it is measured first.
 
     * Fits ``broadcast_bytes``: it is broadcast, and the records are neither
       shuffled nor sorted.
-    * Does not fit, and no group is larger than one task's share of the records:
-      both sides are shuffled.  Each task holds its share of the averages in a
-      hash table if that surely fits, and sorts otherwise.
-    * Does not fit, and some groups are larger: these are broadcast, the rest is
-      shuffled as above.  Fewer than N groups can hold more than 1/N of the
-      records each, and N is chosen so that N of the longest names fit, which
-      bounds the broadcast.  No record is left out either way.
+    * Does not fit, and no group is larger than one shuffle partition's share of
+      the records: both sides are shuffled and merged.
+    * Does not fit, and some groups are larger: these are measured and broadcast,
+      the rest is merged.  Fewer groups than shuffle partitions can be that
+      large.  Should their names not fit the bound together, those with names
+      longer than an equal share of it are merged as well, where AQE splits
+      them.  No record is left out either way.
     """
     # further columns would escape the measured size
     averages = averages.select("year_month", roles.group, "listing_count", "avg_price")
@@ -84,30 +82,36 @@ def join_deviations(
     if size.bytes <= broadcast_bytes:
         return price_diffs(clean, F.broadcast(averages), roles)
 
-    tasks = tasks or int(clean.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hint = "shuffle_hash" if size.bytes // tasks <= broadcast_bytes else "merge"
-    most = min(tasks, size.hot_groups(broadcast_bytes))
-    if most < 1 or size.largest_group <= size.listings // most:
-        return price_diffs(clean, averages.hint(hint), roles)
+    share = size.listings // int(clean.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if size.largest_group <= share:
+        return price_diffs(clean, averages.hint("merge"), roles)
 
-    share = size.listings // most
-    hot = averages.filter(F.col("listing_count") > share)
-    cold = averages.filter(F.col("listing_count") <= share)
+    is_hot = F.col("listing_count") > share
+    total, count = averages.filter(is_hot).agg(F.sum(_row_bytes(roles)), F.count("*")).first()
+    if total > broadcast_bytes:
+        is_hot &= _row_bytes(roles) <= broadcast_bytes // count
+    hot, cold = averages.filter(is_hot), averages.filter(~is_hot)
     keys = ["year_month", roles.group]
     rest = clean.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
     return price_diffs(clean, F.broadcast(hot), roles).unionByName(
-        price_diffs(rest, cold.hint(hint), roles)
+        price_diffs(rest, cold.hint("merge"), roles)
     )
 
 
 def deviations(
-    clean: DataFrame, roles: Roles = LISTING, broadcast_bytes: int = BROADCAST_BYTES
+    clean: DataFrame,
+    roles: Roles = LISTING,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    month: str | None = None,
+    group: str | None = None,
 ) -> DataFrame:
-    """Averages and deviations of ``clean`` in one call.
+    """Averages and deviations of ``clean`` in one call, of one month or group if named.
 
-    The averages are computed and stored first.  Left in one plan with the join,
-    the records would be shuffled by group before the size of the averages is
-    known, and a hot group would end up in one task.
+    An average belongs to a month and a group, so both are filtered before it is
+    taken.  The averages are computed and stored first.  Left in one plan with
+    the join, the records would be shuffled by group before the size of the
+    averages is known, and a hot group would end up in one task.
     """
+    clean = of_month_and_group(clean, month, group, roles)
     averages = stored(average_prices(clean, roles), "averages")
     return join_deviations(clean, averages, roles, broadcast_bytes)

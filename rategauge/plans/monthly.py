@@ -39,8 +39,9 @@ FAILED = "FAILED"
 class MonthlyRun:
     """One run: what it reads, where it writes, how it is labelled.
 
-    ``list_per_month`` ranks each data month of the file by itself; otherwise
-    all its months share one list of ``top_k`` per group.
+    ``list_per_month`` ranks each data month of the file by itself, so that a
+    report for one month finds ``top_k`` rows per group; otherwise all its months
+    share one list of ``top_k`` per group.
     """
 
     month: str
@@ -49,7 +50,7 @@ class MonthlyRun:
     run_name: str
     run_type: str = "scheduled"
     top_k: int = 10
-    list_per_month: bool = False
+    list_per_month: bool = True
     multi_line: bool = True
     started: datetime | None = None
 
@@ -176,11 +177,13 @@ def run_months(
     root: str,
     run_name: str,
     run_type: str = "adhoc",
+    name: str = "listings",
+    extension: str = "csv",
     **options,
 ) -> Layout:
     """Backfill: one run per month, each replacing only its own partitions.
 
-    ``options`` are further :class:`MonthlyRun` fields.  A month that fails ends
+    ``name`` and ``extension`` are those of the input files; ``options`` are further :class:`MonthlyRun` fields.  A month that fails ends
     the backfill; the months before it stay, and it can simply be run again.
     """
     for month in months:
@@ -188,7 +191,7 @@ def run_months(
             spark,
             MonthlyRun(
                 month=month,
-                path=month_file(input_path, month),
+                path=month_file(input_path, month, name, extension),
                 root=root,
                 run_name=run_name,
                 run_type=run_type,

@@ -21,10 +21,10 @@ class Reports:
     over: DataFrame
     under: DataFrame
 
-    def show(self) -> None:
-        show_report(self.average, AVERAGE_ROWS)
-        show_report(self.over, RANKED_ROWS)
-        show_report(self.under, RANKED_ROWS)
+    def show(self, average_rows: int = AVERAGE_ROWS, ranked_rows: int = RANKED_ROWS) -> None:
+        show_report(self.average, average_rows)
+        show_report(self.over, ranked_rows)
+        show_report(self.under, ranked_rows)
 
 
 def run_reports(

@@ -29,13 +29,20 @@ def _with_partitions(schema: StructType, *names: str) -> StructType:
 
 
 def read_table(
-    spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet"
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    fmt: str = "parquet",
+    multi_line: bool = False,
 ) -> DataFrame:
-    """Read Parquet by column name, or CSV with its header checked."""
+    """Read Parquet by column name, or CSV with its header checked.
+
+    ``multi_line`` is for fields with line breaks; each file is then one task.
+    """
     reader = spark.read.schema(schema)
     with reading(path):
         if fmt == "csv":
-            return reader.options(**read_options(multi_line=True)).csv(path)
+            return reader.options(**read_options(multi_line)).csv(path)
         if fmt == "parquet":
             return reader.parquet(path)
     raise ValueError(f"unknown table format {fmt!r}")
@@ -46,11 +53,15 @@ def _of_run(df: DataFrame, run_month: str | None) -> DataFrame:
 
 
 def read_average_table(
-    spark: SparkSession, path: str, fmt: str = "parquet", run_month: str | None = None
+    spark: SparkSession,
+    path: str,
+    fmt: str = "parquet",
+    run_month: str | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Average prices with tracking columns, eight columns in fixed order."""
     if fmt == "csv":
-        return read_table(spark, path, AVERAGE_CSV, fmt)
+        return read_table(spark, path, AVERAGE_CSV, fmt, multi_line)
     table = read_table(spark, path, _with_partitions(AVERAGE_TABLE, RUN_MONTH), fmt)
     return _of_run(table, run_month).select(*AVERAGE_TABLE.names)
 
@@ -61,23 +72,28 @@ def read_ranked_table(
     side: str,
     fmt: str = "parquet",
     run_month: str | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """One side of the stored top lists, fourteen columns in fixed order."""
     check_side(side)
     if fmt == "csv":
-        return read_table(spark, path, RANKED_CSV, fmt)
+        return read_table(spark, path, RANKED_CSV, fmt, multi_line)
     table = read_table(spark, path, _with_partitions(RANKED_TABLE, RUN_MONTH, SIDE), fmt)
     chosen = _of_run(table.filter(F.col(SIDE) == side), run_month)
     return chosen.select(*RANKED_TABLE.names)
 
 
 def read_over_under_tables(
-    spark: SparkSession, over_path: str, under_path: str | None = None, fmt: str = "parquet"
+    spark: SparkSession,
+    over_path: str,
+    under_path: str | None = None,
+    fmt: str = "parquet",
+    multi_line: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """``(over, under)``.  Stored as Parquet, both sides share one path."""
     return (
-        read_ranked_table(spark, over_path, OVER, fmt),
-        read_ranked_table(spark, under_path or over_path, UNDER, fmt),
+        read_ranked_table(spark, over_path, OVER, fmt, multi_line=multi_line),
+        read_ranked_table(spark, under_path or over_path, UNDER, fmt, multi_line=multi_line),
     )
 
 

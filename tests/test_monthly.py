@@ -33,7 +33,7 @@ def run(path, root, month="2025-01", **options):
 
 
 def test_tables_of_a_run(spark, tmp_path):
-    layout = run_month(spark, run(january(tmp_path), tmp_path / "out", top_k=1))
+    layout = run_month(spark, run(january(tmp_path), tmp_path / "out", top_k=1, list_per_month=False))
     averages = read_average_table(spark, layout.averages, run_month="2025-01")
     assert rows(averages, "year_month", "neighbourhood_cleansed", "listing_count", F.col("avg_price").cast("string")) == [
         ("2025-01", "Camden", 1, "50.00"), ("2025-01", "Soho", 2, "200.00"), ("2025-02", "Soho", 1, "70.00")]
@@ -56,7 +56,7 @@ def test_tables_of_a_run(spark, tmp_path):
 
 
 def test_list_per_month(spark, tmp_path):
-    one = run(january(tmp_path), tmp_path / "out", top_k=1, list_per_month=True)
+    one = run(january(tmp_path), tmp_path / "out", top_k=1)
     layout = run_month(spark, one)
     assert rows(read_ranked_table(spark, layout.top_priced, "over"), "id") == [("2",), ("3",), ("7",)]
 

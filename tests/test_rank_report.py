@@ -28,25 +28,16 @@ def diffs(spark, records):
     )
 
 
-def test_given_top_lists(spark):
-    data = [("2025-10", "Soho", float(p), 100.0, p - 100.0, p - 100.0) for p in range(80, 200, 5)]
-    df = spark.createDataFrame(
-        data,
-        "year_month string, neighbourhood_cleansed string, price_num double, avg_price double, "
-        "price_diff double, pct_diff double",
-    )
-    over, under = top_over_under(df, 10, roles=_no_id())
-    assert rows(over) == sorted((d for d in data if d[2] >= 150), key=repr)
-    assert rows(under) == sorted((d for d in data if d[2] <= 125), key=repr)
+def test_top_lists_take_both_ends(spark):
+    df = diffs(spark, [(f"{g}{i:02d}", g, "2031-07", (i * 37) % 101 - 50) for g in "pq" for i in range(17)])
+    over, under = top_over_under(df, 4)
+    values = sorted((i * 37) % 101 - 50 for i in range(17))
+    assert over.count() == under.count() == 8
+    assert sorted({int(r.pct_diff) for r in over.collect()}) == values[-4:]
+    assert sorted({int(r.pct_diff) for r in under.collect()}) == values[:4]
     assert over.columns == df.columns
 
 
-def _no_id():
-    from rategauge.roles import Roles
-
-    return Roles(("price_diff",), "neighbourhood_cleansed", "price_num", "year_month")
-
-
 def test_ties_go_to_the_smaller_id(spark):
     df = diffs(spark, [(str(i), "a", "2025-01", 5) for i in (9, 3, 7, 1)])
     assert rows(top_k(df, 2), "id") == [("1",), ("3",)]
@@ -91,18 +82,16 @@ def test_rows_are_cut_before_the_shuffle(spark, sf_dir):
 AVG = (
     "year_month string, neighbourhood_cleansed string, listing_count bigint, avg_price double"
 )
-AVG_ROWS = [
-    ("2025-01", "Soho", 20, 150.0), ("2025-01", "Chelsea", 15, 250.0), ("2025-02", "Soho", 10, 180.0),
-]
+AVG_ROWS = [("2031-07", "Quay", 3, 9.5), ("2031-08", "Quay", 4, 12.25), ("2031-07", "Mill", 1, 12.25)]
 
 
 def test_average_report(spark):
     df = spark.createDataFrame(AVG_ROWS, AVG)
-    assert ordered(average_report(df, "2025-01", "sOHO")) == [("2025-01", "Soho", 150.0)]
-    everything = [("2025-01", "Chelsea", 250.0), ("2025-02", "Soho", 180.0), ("2025-01", "Soho", 150.0)]
+    assert ordered(average_report(df, "2031-07", "qUAY")) == [("2031-07", "Quay", 9.5)]
+    everything = [("2031-07", "Mill", 12.25), ("2031-08", "Quay", 12.25), ("2031-07", "Quay", 9.5)]
     assert ordered(average_report(df, None, "ALL")) == everything
     assert ordered(average_report(df, "", None)) == everything
-    assert ordered(average_report(df, "2024-01")) == []
+    assert ordered(average_report(df, "1970-01")) == []
 
 
 def test_ranked_report_all_groups(spark):
@@ -124,13 +113,12 @@ def test_ranked_report_one_group_spans_spellings(spark):
     assert "TakeOrderedAndProject" in plan(report)
 
 
-def test_both_sides_from_stored_lists(spark):
-    df = diffs(spark, [(f"id_{i}", "Soho", "2025-01", i - 20) for i in range(10)])
-    over, under = over_under_report(df, df, 10, "2025-01", "Soho")
-    over_values = [r.pct_diff for r in over.collect()]
-    under_values = [r.pct_diff for r in under.collect()]
-    assert len(over_values) == len(under_values) == 10
-    assert over_values == sorted(over_values, reverse=True) and under_values == sorted(under_values)
+def test_each_side_comes_from_its_own_table(spark):
+    high = diffs(spark, [("h1", "Quay", "m", 8), ("h2", "Quay", "m", 3), ("h3", "Mill", "m", 9)])
+    low = diffs(spark, [("l1", "Quay", "m", -8), ("l2", "quay", "m", -3), ("l3", "Quay", "n", -99)])
+    over, under = over_under_report(high, low, 2, "m", "quay")
+    assert ordered(over, "id", "rank") == [("h1", 1), ("h2", 2)]
+    assert ordered(under, "id", "rank") == [("l1", 1), ("l2", 2)]
 
 
 def test_show_prints_at_most_the_given_rows(spark, capsys):

@@ -122,15 +122,15 @@ def test_csv_turns_empty_text_into_null(spark, tmp_path):
 def test_writers_replace_what_was_there(spark, tmp_path):
     for write, read in ((write_csv, read_listings), (write_parquet, lambda s, p: s.read.parquet(p))):
         path = str(tmp_path / write.__name__)
-        write(spark.createDataFrame([(1, "Alice"), (2, "Bob")], "id long, name string"), path)
-        write(spark.createDataFrame([(3, "Cy")], "id long, name string"), path)
+        write(spark.createDataFrame([(10, True), (20, False)], "id long, flag boolean"), path)
+        write(spark.createDataFrame([(3, True)], "id long, flag boolean"), path)
         assert [str(r.id) for r in read(spark, path).collect()] == ["3"]
 
 
 def test_write_errors_are_wrapped(spark, tmp_path):
     blocker = tmp_path / "file"
     blocker.write_text("not a directory")
-    df = spark.createDataFrame([(1, "Eve")], "id long, name string")
+    df = spark.createDataFrame([(30, True)], "code long, flag boolean")
     for write in (write_csv, write_parquet):
         with pytest.raises(RuntimeError) as caught:
             write(df, f"{blocker}/sub")
@@ -192,25 +192,24 @@ def test_fixed_table_schemas():
     assert all(f.nullable for f in [*AVERAGE_CSV, *RANKED_CSV])
 
 
-def test_csv_tables(spark, tmp_path):
-    average = spark.createDataFrame(
-        [("2025-01", "Soho", 20, 150.0, "2025-01-15", "s.csv", "scheduled", "log1")],
-        "year_month string, neighbourhood_cleansed string, listing_count bigint, avg_price double, "
-        "processing_timestamp string, source_file string, run_type string, final_log_file_name string",
-    )
-    read = read_average_table(spark, write_csv(average, str(tmp_path / "a")), fmt="csv")
-    assert read.schema == AVERAGE_CSV and str(read.first().avg_price) == "150.00"
+@pytest.mark.parametrize("multi_line", [False, True])
+def test_csv_tables(spark, tmp_path, multi_line):
+    when, tail = "2031-08-01 00:00:00", ("f.csv", "adhoc", "night_7")
+    average = spark.createDataFrame([("2031-07", "Quay, old", 3, 9.5, when, *tail)], AVERAGE_CSV.names)
+    path = write_csv(average, str(tmp_path / "a"))
+    read = read_average_table(spark, path, fmt="csv", multi_line=multi_line)
+    assert read.schema == AVERAGE_CSV
+    assert rows(read, "neighbourhood_cleansed", F.col("avg_price").cast("string")) == [("Quay, old", "9.50")]
 
     ranked = spark.createDataFrame(
-        [("2025-01", "Soho", f"id_{i}", "$100.00", "2025-01-02", 100 + i, 1, 120.0, i - 20.0,
-          (i - 20.0) / 1.2, "2025-01-15", "s.csv", "scheduled", "log") for i in range(10)],
+        [("2031-07", "Quay", f"k{i}", f"{i}.00", "2031-07-09", i, 3, 9.5, i - 9.5, 1.5, when, *tail) for i in (4, 6, 40)],
         RANKED_CSV.names,
     )
-    over, under = (write_csv(ranked, str(tmp_path / side)) for side in ("over", "under"))
-    for df in read_over_under_tables(spark, over, under, fmt="csv"):
-        assert df.schema == RANKED_CSV and df.count() == 10
+    paths = [write_csv(ranked, str(tmp_path / side)) for side in ("over", "under")]
+    for df in read_over_under_tables(spark, *paths, fmt="csv", multi_line=multi_line):
+        assert df.schema == RANKED_CSV and rows(df, RANKED_CSV.names[2]) == [("k4",), ("k40",), ("k6",)]
     with pytest.raises(ValueError):
-        read_ranked_table(spark, over, "sideways", fmt="csv")
+        read_ranked_table(spark, paths[0], "sideways", fmt="csv")
 
 
 def test_tracking(spark):
