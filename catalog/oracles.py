@@ -258,6 +258,8 @@ SELECT '{MONTH}' AS month, 'SUCCESS' AS status,
   2 * count(*) FILTER (WHERE reject_reason = 'bad_price') AS bad_price
 FROM verdicts""",
         "monthly_report_avg": average_report(f"year_month = '{MONTH}'"),
+        "backfill_report_avg": average_report("TRUE"),
+        "backfill_report_over": ranked(5, "DESC"),
         "monthly_report_over": ranked(5, "DESC"),
         "monthly_report_under": ranked(5, "ASC", where=ONE_GROUP),
         "roles_lineitem_avg": typed_averages(LINES, "l_suppkey"),

@@ -7,7 +7,11 @@ from dataclasses import dataclass
 
 @dataclass(frozen=True)
 class Layout:
-    """All tables are Parquet and partitioned by the month of the run."""
+    """All tables are Parquet.
+
+    Classified records are partitioned by the month of the run, averages and
+    lists by that of the data.
+    """
 
     root: str
 

@@ -15,10 +15,11 @@ from rategauge.operators.rank import OVER, UNDER, top_over_under
 from rategauge.operators.tracking import add_tracking, file_name_column
 from rategauge.plans.deviations import join_deviations
 from rategauge.plans.layout import Layout
+from rategauge.plans.scratch import stored
 from rategauge.roles import LISTING
 from rategauge.schemas import AUDIT_TABLE, AVERAGE_TABLE, CLASSIFIED_TABLE, RANKED_TABLE
 from rategauge.sinks.files import writing
-from rategauge.sinks.months import overwrite_partition
+from rategauge.sinks.months import overwrite_months, overwrite_partition
 from rategauge.sources.guards import require_rows
 from rategauge.sources.listings import month_file, read_listings
 from rategauge.sources.tables import (
@@ -39,9 +40,7 @@ FAILED = "FAILED"
 class MonthlyRun:
     """One run: what it reads, where it writes, how it is labelled.
 
-    ``list_per_month`` ranks each data month of the file by itself, so that a
-    report for one month finds ``top_k`` rows per group; otherwise all its months
-    share one list of ``top_k`` per group.
+    Lists hold ``top_k`` records per data month and group.
     """
 
     month: str
@@ -50,7 +49,6 @@ class MonthlyRun:
     run_name: str
     run_type: str = "scheduled"
     top_k: int = 10
-    list_per_month: bool = True
     multi_line: bool = True
     started: datetime | None = None
 
@@ -114,21 +112,32 @@ def _store_classified(spark: SparkSession, run: MonthlyRun) -> None:
     )
 
 
-def _store_averages(clean: DataFrame, run: MonthlyRun) -> None:
+def _data_months(spark: SparkSession, run: MonthlyRun) -> set[str]:
+    """Months of the run's accepted records; a file holds few."""
+    try:
+        accepted = read_classified(spark, run.layout.classified, ACCEPTED, run.month)
+    except FileNotFoundError:
+        return set()
+    return {row[0] for row in accepted.select("year_month").distinct().collect()}
+
+
+def _store_averages(clean: DataFrame, run: MonthlyRun, months: list[str]) -> None:
     averages = _tracked(average_prices(clean), run, run.path)
-    overwrite_partition(
-        averages.select(*AVERAGE_TABLE.names), run.layout.averages, RUN_MONTH, run.month
+    overwrite_months(
+        stored(averages.select(*AVERAGE_TABLE.names), "averages"), run.layout.averages, months
     )
 
 
-def _store_top_priced(clean: DataFrame, averages: DataFrame, run: MonthlyRun) -> None:
+def _store_top_priced(
+    clean: DataFrame, averages: DataFrame, run: MonthlyRun, months: list[str]
+) -> None:
     """Each listed record keeps the file name it came with."""
-    keys = ["year_month", LISTING.group] if run.list_per_month else [LISTING.group]
+    keys = ["year_month", LISTING.group]
     tops = top_over_under(join_deviations(clean, averages), run.top_k, partition_by=keys)
-    of_month = f"{run.layout.top_priced}/{RUN_MONTH}={run.month}"
     for side, top in zip((OVER, UNDER), tops):
-        tracked = _tracked(top, run, F.col("source_file"))
-        overwrite_partition(tracked.select(*RANKED_TABLE.names), of_month, SIDE, side)
+        tracked = _tracked(top, run, F.col("source_file")).select(*RANKED_TABLE.names)
+        of_side = f"{run.layout.top_priced}/{SIDE}={side}"
+        overwrite_months(stored(tracked, "tops"), of_side, months)
 
 
 def _audit_failure(spark: SparkSession, run: MonthlyRun, error: Exception) -> None:
@@ -143,22 +152,27 @@ def run_month(spark: SparkSession, run: MonthlyRun) -> Layout:
     """Read, classify, average, rank and store one month; rerunning replaces it.
 
     The raw file is read once.  Every later step reads the classified table,
-    which is columnar, split by outcome, and outlives lost executors.  An audit
+    which is columnar, split by outcome, and outlives lost executors.  Averages
+    and lists belong to the month of the data: those of every month this run
+    touches, now or before, are taken anew from the records of all runs.  An audit
     row is appended whether the run succeeds or fails.
     """
     if run.started is None:
         run = replace(run, started=datetime.now(timezone.utc))
     layout = run.layout
     try:
+        before = _data_months(spark, run)
         _store_classified(spark, run)
-        clean = read_classified(spark, layout.classified, ACCEPTED, run.month).select(
+        months = sorted(before | _data_months(spark, run)) or [run.month]
+        touched = F.col("year_month").isin(months)
+        clean = read_classified(spark, layout.classified, ACCEPTED).filter(touched).select(
             *LISTING.columns, "price_num", "year_month", "source_file"
         )
-        _store_averages(clean, run)
-        averages = read_average_table(spark, layout.averages, run_month=run.month).select(
+        _store_averages(clean, run, months)
+        averages = read_average_table(spark, layout.averages).filter(touched).select(
             "year_month", LISTING.group, "listing_count", "avg_price"
         )
-        _store_top_priced(clean, averages, run)
+        _store_top_priced(clean, averages, run, months)
         counts = quality_totals(
             read_classified(spark, layout.classified, run_month=run.month),
             ["source_file", "year_month"],

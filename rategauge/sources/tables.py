@@ -52,18 +52,22 @@ def _of_run(df: DataFrame, run_month: str | None) -> DataFrame:
     return df.filter(F.col(RUN_MONTH) == run_month) if run_month else df
 
 
+def _of_month(df: DataFrame, month: str | None) -> DataFrame:
+    return df.filter(F.col("year_month") == month) if month else df
+
+
 def read_average_table(
     spark: SparkSession,
     path: str,
     fmt: str = "parquet",
-    run_month: str | None = None,
+    month: str | None = None,
     multi_line: bool = False,
 ) -> DataFrame:
     """Average prices with tracking columns, eight columns in fixed order."""
     if fmt == "csv":
         return read_table(spark, path, AVERAGE_CSV, fmt, multi_line)
-    table = read_table(spark, path, _with_partitions(AVERAGE_TABLE, RUN_MONTH), fmt)
-    return _of_run(table, run_month).select(*AVERAGE_TABLE.names)
+    table = read_table(spark, path, AVERAGE_TABLE, fmt)
+    return _of_month(table, month).select(*AVERAGE_TABLE.names)
 
 
 def read_ranked_table(
@@ -71,15 +75,15 @@ def read_ranked_table(
     path: str,
     side: str,
     fmt: str = "parquet",
-    run_month: str | None = None,
+    month: str | None = None,
     multi_line: bool = False,
 ) -> DataFrame:
     """One side of the stored top lists, fourteen columns in fixed order."""
     check_side(side)
     if fmt == "csv":
         return read_table(spark, path, RANKED_CSV, fmt, multi_line)
-    table = read_table(spark, path, _with_partitions(RANKED_TABLE, RUN_MONTH, SIDE), fmt)
-    chosen = _of_run(table.filter(F.col(SIDE) == side), run_month)
+    table = read_table(spark, path, _with_partitions(RANKED_TABLE, SIDE), fmt)
+    chosen = _of_month(table.filter(F.col(SIDE) == side), month)
     return chosen.select(*RANKED_TABLE.names)
 
 

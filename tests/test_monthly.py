@@ -9,7 +9,7 @@ from rategauge.plans import MonthlyRun, run_month, run_months, run_reports
 from rategauge.plans.layout import Layout
 from rategauge.plans.scratch import SETTING, shared_folder
 from rategauge.sources import read_average_table, read_classified, read_ranked_table
-from tests.helpers import rows
+from tests.helpers import plan, rows
 
 HEADER = "id,neighbourhood_cleansed,price,last_scraped,host\n"
 
@@ -33,8 +33,8 @@ def run(path, root, month="2025-01", **options):
 
 
 def test_tables_of_a_run(spark, tmp_path):
-    layout = run_month(spark, run(january(tmp_path), tmp_path / "out", top_k=1, list_per_month=False))
-    averages = read_average_table(spark, layout.averages, run_month="2025-01")
+    layout = run_month(spark, run(january(tmp_path), tmp_path / "out", top_k=1))
+    averages = read_average_table(spark, layout.averages)
     assert rows(averages, "year_month", "neighbourhood_cleansed", "listing_count", F.col("avg_price").cast("string")) == [
         ("2025-01", "Camden", 1, "50.00"), ("2025-01", "Soho", 2, "200.00"), ("2025-02", "Soho", 1, "70.00")]
     errors = read_classified(spark, layout.classified, "rejected")
@@ -42,8 +42,8 @@ def test_tables_of_a_run(spark, tmp_path):
         ("4", "bad_price", "listings_2025-01.csv", "adhoc"),
         ("5", "missing_group", "listings_2025-01.csv", "adhoc"),
         ("6", "negative_price", "listings_2025-01.csv", "adhoc")]
-    assert rows(read_ranked_table(spark, layout.top_priced, "over"), "id") == [("2",), ("3",)]
-    assert rows(read_ranked_table(spark, layout.top_priced, "under"), "id") == [("1",), ("3",)]
+    assert rows(read_ranked_table(spark, layout.top_priced, "over"), "id") == [("2",), ("3",), ("7",)]
+    assert rows(read_ranked_table(spark, layout.top_priced, "under"), "id") == [("1",), ("3",), ("7",)]
     stamps = {
         r[0]
         for df in (averages, errors, read_ranked_table(spark, layout.top_priced, "over"))
@@ -55,12 +55,6 @@ def test_tables_of_a_run(spark, tmp_path):
         ("2025-01", "SUCCESS", 6, 3, 3, 1), ("2025-02", "SUCCESS", 1, 1, 0, 0)]
 
 
-def test_list_per_month(spark, tmp_path):
-    one = run(january(tmp_path), tmp_path / "out", top_k=1)
-    layout = run_month(spark, one)
-    assert rows(read_ranked_table(spark, layout.top_priced, "over"), "id") == [("2",), ("3",), ("7",)]
-
-
 def snapshot(spark, layout):
     drop = "processing_timestamp"
     return [
@@ -92,12 +86,19 @@ def test_backfill_keeps_other_months(spark, tmp_path):
     source(tmp_path, "2025-02", ["21,Soho,$10.00,2025-02-03"])
     root = str(tmp_path / "out")
     layout = run_months(spark, ["2025-01", "2025-02"], str(tmp_path), root, "batch_2")
-    months = "run_month", "year_month", "neighbourhood_cleansed"
-    stored = spark.read.option("basePath", layout.averages).parquet(layout.averages)
-    want = rows(stored, *months)
-    assert ("2025-01", "2025-02", "Soho") in want and ("2025-02", "2025-02", "Soho") in want
+    got = ("year_month", "neighbourhood_cleansed", "listing_count", F.col("avg_price").cast("string"))
+    want = [("2025-01", "Camden", 1, "50.00"), ("2025-01", "Soho", 2, "200.00"), ("2025-02", "Soho", 2, "40.00")]
+    assert rows(read_average_table(spark, layout.averages), *got) == want
     run_months(spark, ["2025-02"], str(tmp_path), root, "batch_3")
-    assert rows(spark.read.parquet(layout.averages), *months) == want
+    assert rows(read_average_table(spark, layout.averages), *got) == want
+    reports = run_reports(spark, root, "2025-02", "soho")
+    assert rows(reports.over, "id", "rank") == [("21", 2), ("7", 1)]
+    for report in (reports.average, reports.over):
+        text = plan(report)
+        assert "PartitionFilters: [isnotnull(year_month" in text or "year_month#" in text.split("PartitionFilters: [")[1].split("]")[0]
+    source(tmp_path, "2025-01", ["1,Soho,$100.00,2025-01-03"])  # its February record is gone
+    run_months(spark, ["2025-01"], str(tmp_path), root, "batch_4")
+    assert rows(read_average_table(spark, layout.averages), *got) == [("2025-01", "Soho", 1, "100.00"), ("2025-02", "Soho", 1, "10.00")]
 
 
 @pytest.mark.parametrize("problem, kind", [("missing", FileNotFoundError), ("empty", ValueError)])
