@@ -16,8 +16,12 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the standard policy keeps."""
-    entries = quality.ledger(docs.select(*COLUMNS))
+    """Documents that the standard policy keeps.
+
+    The ledger is stored before the policy reads it: a filter on its bits would otherwise be pushed
+    below the measurements, and Catalyst would write their whole tree out for every use.
+    """
+    entries = stored(quality.ledger(docs.select(*COLUMNS)).select(*COLUMNS, quality.FAILURES), "ledger")
     return entries.where(quality.kept(quality.STANDARD)).select(*COLUMNS)
 
 

@@ -7,6 +7,7 @@ import pytest
 import corpus_pipeline
 from rategauge.llm import minhash, pieces, pii, quality
 from rategauge.llm.queries import ORACLES, PIECE_MODEL, QUERIES
+from rategauge.plans.scratch import stored
 from tools.compare import compare, duck
 
 
@@ -22,7 +23,7 @@ def test_one_query_per_operator():
 
 def test_pipeline(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    good = quality.ledger(docs).where(quality.kept(quality.STANDARD)).select(*corpus_pipeline.COLUMNS)
+    good = stored(quality.ledger(docs), "ledger").where(quality.kept(quality.STANDARD)).select(*corpus_pipeline.COLUMNS)
     kept = {r[0] for r in minhash.near_duplicates(good).where("kept").select("doc_id").collect()}
     texts = dict(good.select("doc_id", "text").collect())
     detector, codec = pii.fitted(good.where(good.doc_id.isin(sorted(kept)))), pieces.Codec(PIECE_MODEL)
