@@ -26,6 +26,7 @@ with a null id is its own component (null) and kept.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -84,6 +85,12 @@ class Circulant:
         return np.minimum.reduce(parts)
 
 
+@cache
+def circulant(size: int, seed: int = 7) -> Circulant:
+    """The same permutations for all tasks of one Python worker, made once (32 MB each)."""
+    return Circulant(size, seed)
+
+
 def _bands(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
     key = np.arange(1, bands + 1, dtype=np.uint64) * _STEP
     for column in signature.reshape(bands, rows).T:
@@ -97,9 +104,8 @@ def signatures(
     """``(id, n_shingles, set_a, set_b, keys)``: set digest in two longs, one key per band."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        maker = None
         for batch in pieces(batches):
-            maker = maker or Circulant(bands * rows)
+            maker = circulant(bands * rows)
             sizes, first, second, keys = [], [], [], []
             for shingles in shingled(batch.column("text"), words):
                 sizes.append(len(shingles))
@@ -130,9 +136,8 @@ def sketches(texts: DataFrame, words: int) -> DataFrame:
     """``(id, coordinates)``: one byte of each of ``SKETCH`` coordinates, for a closer look."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        maker = None
         for batch in pieces(batches):
-            maker = maker or Circulant(SKETCH, seed=8)
+            maker = circulant(SKETCH, seed=8)
             out = []
             for shingles in shingled(batch.column("text"), words):
                 values = maker.signature(shingles) * np.uint32(2654435761) >> np.uint32(24)
