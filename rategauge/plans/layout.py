@@ -32,6 +32,11 @@ class Layout:
         """Over- and under-priced lists, parted by ``side``."""
         return self._table("top_priced")
 
+    @property
+    def list_sizes(self) -> str:
+        """How many records per group the lists of each month hold."""
+        return self._table("list_sizes")
+
     @property
     def audit(self) -> str:
         return self._table("run_audit")

@@ -138,6 +138,9 @@ def _store_top_priced(
         tracked = _tracked(top, run, F.col("source_file")).select(*RANKED_TABLE.names)
         of_side = f"{run.layout.top_priced}/{SIDE}={side}"
         overwrite_months(stored(tracked, "tops"), of_side, months)
+    held = F.explode(F.array(*(F.lit(month) for month in months))).alias("year_month")
+    sizes = clean.sparkSession.range(1).select(held, F.lit(run.top_k).alias("top_k"))
+    overwrite_months(sizes, run.layout.list_sizes, months)
 
 
 def _audit_failure(spark: SparkSession, run: MonthlyRun, error: Exception) -> None:

@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rategauge.operators.report import ALL_GROUPS, average_report, over_under_report, show_report
 from rategauge.plans.layout import Layout
-from rategauge.sources.tables import read_average_table, read_over_under_tables
+from rategauge.sources.tables import (
+    read_average_table,
+    read_list_sizes,
+    read_over_under_tables,
+)
 
 #: Rows printed per report (fixed values).
 AVERAGE_ROWS = 10
@@ -34,8 +38,14 @@ def run_reports(
     group: str | None = ALL_GROUPS,
     n: int = 10,
 ) -> Reports:
-    """The three reports over the tables below ``root``."""
+    """The three reports over the tables below ``root``.
+
+    Lists shorter than ``n`` because their run kept fewer are refused: the report would come short.
+    """
     layout = Layout(root)
+    held = read_list_sizes(spark, layout.list_sizes, month).agg(F.min("top_k")).first()[0]
+    if held is not None and n > held:
+        raise ValueError(f"the stored lists hold {held} records per group, {n} were asked for")
     over, under = read_over_under_tables(spark, layout.top_priced)
     return Reports(
         average_report(read_average_table(spark, layout.averages), month, group),

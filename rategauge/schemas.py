@@ -108,3 +108,6 @@ AUDIT_TABLE = _schema(
     ("rows_rejected", LongType()),
     *((reason, LongType()) for reason in REJECT_REASONS),
 )
+
+#: Records per group that the lists of a month hold.
+LIST_SIZES = _schema(("year_month", StringType()), ("top_k", IntegerType()))

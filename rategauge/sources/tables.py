@@ -10,6 +10,7 @@ from rategauge.schemas import (
     AVERAGE_CSV,
     AVERAGE_TABLE,
     CLASSIFIED_TABLE,
+    LIST_SIZES,
     RANKED_CSV,
     RANKED_TABLE,
 )
@@ -101,6 +102,11 @@ def read_over_under_tables(
     )
 
 
+def read_list_sizes(spark: SparkSession, path: str, month: str | None = None) -> DataFrame:
+    """``(year_month, top_k)``: what the stored lists of each month hold."""
+    return _of_month(read_table(spark, path, LIST_SIZES), month).select(*LIST_SIZES.names)
+
+
 def read_classified(
     spark: SparkSession, path: str, outcome: str | None = None, run_month: str | None = None
 ) -> DataFrame:

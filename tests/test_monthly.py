@@ -134,6 +134,15 @@ def test_reports(spark, tmp_path, capsys):
     assert "Camden" in capsys.readouterr().out
 
 
+def test_reports_longer_than_the_lists_are_refused(spark, tmp_path):
+    root = run_month(spark, run(january(tmp_path), tmp_path / "out", top_k=1)).root
+    assert run_reports(spark, root, "2025-01", n=1).over.count() == 2
+    for month in ("2025-01", "2025-02", None):
+        with pytest.raises(ValueError, match="hold 1 records per group, 2 were"):
+            run_reports(spark, root, month, n=2)
+    assert run_reports(spark, root, "2031-01", n=2).over.count() == 0
+
+
 class FakeSession:
     """Settings and context of a session, without one."""
 
