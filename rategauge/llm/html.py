@@ -5,8 +5,10 @@ kind (menus, headers, footers, sidebars, forms, scripts, styles) or by name (adv
 comments) are left out. Every node then has its characters, tags, and those inside links; its
 composite density is characters per tag, weighed down by the share of linked text; the density of a
 body without links is the smoothing. A node's sum is that of its children's densities. From the node
-of the greatest sum up to the body the least density is the threshold; of the nodes that reach it,
-the subtree with the greatest sum is the text.
+of the greatest sum up to the body the least density is the threshold; that node and every largest
+subtree off its path that reaches the threshold are text. Each is widened to the article or main
+around it, and other articles count as well; where the best node is in an article they are joined in
+page order, else the common ancestor of those outside articles is taken, without lists of links.
 
 A page is handled by itself, in linear time: no shuffle, whatever the number of pages of a host.
 
@@ -40,6 +42,8 @@ _BLOCK = frozenset(
     "figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summary table "
     "tbody td tfoot th thead tr ul".split()
 )
+#: Blocks that are left out beside the text when most of theirs is inside links.
+_LISTS = frozenset("address center details dir div dl fieldset figure ol section summary table tbody td tr ul".split())
 #: Parts of a page that are no article, by the kind of tag.
 _DROPPED = frozenset(
     "nav aside footer form script style noscript iframe template svg canvas button select option textarea "
@@ -163,27 +167,70 @@ def _measure(nodes: list[Node]) -> None:
         node.parent.sum += node.density
 
 
-def _main(nodes: list[Node]) -> Node:
+def _linked(node: Node) -> bool:
+    """Whether most of the text is inside links."""
+    return 2 * node.link_chars > node.chars
+
+
+def _main(nodes: list[Node]) -> tuple[list[Node], set[Node]]:
+    """The subtrees that are the text, in page order, and the lists of links inside them that are not."""
     body = nodes[0]
     best = max(nodes, key=lambda n: n.sum)
-    least, node = best.density, best
+    least, node, path = best.density, best, set()
     while node is not None:
         least = min(least, node.density)
+        path.add(node)
         node = node.parent
-    chosen = [n for n in nodes if n.density >= least and n.sum > 0] or [body]
-    top = max(chosen, key=lambda n: n.sum)
-    if top.tag in ("p", "span", "b", "i", "em", "strong", "a", "li", "font", "br", "h1", "h2", "h3", "blockquote"):
-        while top.parent is not None and top.tag not in ("article", "main", "section", "div", "td", "body"):
-            top = top.parent
-    node = top
-    while node.parent is not None:  # an article is whole
-        if node.tag in ("article", "main"):
-            return node
-        node = node.parent
-    return top
+    depth: dict[Node, int] = {}
+    whole: dict[Node, Node | None] = {}  # the outermost article around a node
+    inside: set[Node] = set()
+    chosen: list[Node] = []
+    for node in nodes:
+        up = node.parent
+        depth[node] = depth[up] + 1 if up is not None else 0
+        outer = whole[up] if up is not None else None
+        whole[node] = outer or (node if node.tag in ("article", "main") and not node.gone else None)
+        if up in inside:
+            inside.add(node)
+        elif node is best or node not in path and not node.gone and node.chars and node.density >= least:
+            chosen.append(node)
+            inside.add(node)
+    in_article = whole[best] is not None
+    tops = {n for n in nodes if whole[n] is n and n.chars and not _linked(n)}
+    tops |= {whole[n] for n in chosen if whole[n] is not None}
+    loose = [n for n in chosen if whole[n] is None]
+    links: set[Node] = set()
+    if not in_article:
+        # all text of their common ancestor, short lines between them too, but no list of links beside them
+        holding = dict.fromkeys(loose, 1)
+        for node in reversed(nodes[1:]):
+            if node in holding:
+                holding[node.parent] = holding.get(node.parent, 0) + holding[node]
+        top = max((n for n in nodes if holding.get(n) == len(loose)), key=lambda n: depth[n], default=body)
+        if top.tag in ("p", "span", "b", "i", "em", "strong", "a", "li", "font", "br", "h1", "h2", "h3", "blockquote"):
+            while top.parent is not None and top.tag not in ("article", "main", "section", "div", "td", "body"):
+                top = top.parent
+        keep = set(loose)
+        seen = {top} - keep
+        for node in nodes:
+            if node.parent in seen and node not in keep and not node.gone:
+                if node not in holding and node.tag in _LISTS and _linked(node):
+                    links.add(node)
+                else:
+                    seen.add(node)
+        loose = [top]
+    roots, covered = [], set()
+    wanted = tops | set(loose)
+    for node in nodes:
+        if node.parent in covered:
+            covered.add(node)
+        elif node in wanted:
+            roots.append(node)
+            covered.add(node)
+    return roots or [body], links
 
 
-def _blocks(node: Node) -> Iterator[str]:
+def _blocks(node: Node, left_out: set[Node]) -> Iterator[str]:
     run: list[str] = []
     stack: list[Node | str | None] = [node]
     while stack:
@@ -193,7 +240,7 @@ def _blocks(node: Node) -> Iterator[str]:
             run.clear()
         elif isinstance(item, str):
             run.append(item)
-        elif item.gone and item is not node:
+        elif item.gone and item is not node or item in left_out:
             continue
         elif item.tag == "br":
             run.append(" ")
@@ -213,7 +260,8 @@ def main_text(page: str) -> str:
         return ""
     _, nodes = parse(page)
     _measure(nodes)
-    lines = (" ".join(_html.unescape(b).split()) for b in _blocks(_main(nodes)))
+    roots, links = _main(nodes)
+    lines = (" ".join(_html.unescape(b).split()) for root in roots for b in _blocks(root, links))
     return "\n".join(line for line in lines if line)
 
 

@@ -90,3 +90,28 @@ def test_density_without_an_article():
         + "</div></div></body>"
     )
     assert html.main_text(page).split("\n") == ["Head"] + ["A sentence that is long enough to be text, with words."] * 4
+
+
+def line(k: int) -> str:
+    return f"Sentence {k:03d} has words enough to be some sixty characters long"
+
+
+def paragraphs(first: int, n: int = 4) -> str:
+    return "".join(f"<p>{line(k)}</p>" for k in range(first, first + n))
+
+
+def test_text_in_several_containers():
+    links = "<ul>" + "".join(f"<li><a href={i}>Link number {i}</a></li>" for i in range(12)) + "</ul>"
+    split = f"<div>{paragraphs(0)}</div><div class=ad>buy</div><h2>Next</h2><div>{paragraphs(4)}</div>"
+    want = [*map(line, range(4)), "Next", *map(line, range(4, 8))]
+    assert html.main_text(f"<body><div class=content>{split}</div></body>").split("\n") == want
+    assert html.main_text(f"<body><div>{links}</div><div class=content>{split}</div></body>").split("\n") == want
+    tail = f"<body><div>{links}</div><div><div>{paragraphs(0)}</div><div>{paragraphs(4)}</div><p>End</p></div></body>"
+    assert html.main_text(tail).split("\n") == [*map(line, range(8)), "End"]
+
+
+def test_several_articles():
+    three = f"<article>{paragraphs(0)}</article><article><p>Short</p></article><article>{paragraphs(4)}</article>"
+    want = [*map(line, range(4)), "Short", *map(line, range(4, 8))]
+    for page in (three, f"<main>{three}</main>", f"<div><a href=x>Home</a></div><div>{three}</div>"):
+        assert html.main_text(f"<body>{page}</body>").split("\n") == want
