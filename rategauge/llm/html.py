@@ -2,7 +2,9 @@
 
 A page is parsed into a tree by one tolerant walk over its tags. Parts that are no article by their
 kind (menus, headers, footers, sidebars, forms, scripts, styles) or by name (adverts, notices,
-comments) are left out. Every node then has its characters, tags, and those inside links; its
+comments) are left out; but a form or a part of such a name that holds the article, or most of the
+page's unlinked text where no article stands beside it, is a wrapper and stays, unless it is named as
+comments. Every node then has its characters, tags, and those inside links; its
 composite density is characters per tag, weighed down by the share of linked text; the density of a
 body without links is the smoothing. A node's sum is that of its children's densities. From the node
 of the greatest sum up to the body the least density is the threshold; that node and every largest
@@ -49,14 +51,23 @@ _DROPPED = frozenset(
     "nav aside footer form script style noscript iframe template svg canvas button select option textarea "
     "input label object audio video dialog menu head title".split()
 )
-#: ... and by a word of their class, id or role.
+#: ... and by a whole token of their class, id or role: a word of these, alone or with words of place and form.
 _NAMED = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|notice|notices|gdpr|popup|modal|"
-    r"nav|navbar|navigation|menu|menus|breadcrumbs?|sidebar\w*|side|aside|widget|footer|header|masthead|topbar|"
-    r"comments?|commentlist|respond|disqus|replies|reply|related|share|sharing|social|newsletter|subscribe|"
-    r"signup|login|search|pagination|pager|skip|complementary|contentinfo|alert|toolbar)(?=$|[\s_-]|\d)",
-    re.I,
+    r"ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|notices?|gdpr|popup|modal|nav|navbar|navigation|"
+    r"menus?|breadcrumbs?|sidebar|sidebars|side|aside|widgets?|footer|header|masthead|topbar|comments?|commentlist|"
+    r"respond|disqus|replies|reply|related|share|sharing|social|newsletter|subscribe|signup|login|search|pagination|"
+    r"pager|skip|complementary|contentinfo|alert|toolbar"
 )
+_OF_PLACE = frozenset(
+    "site page main top bottom left right global primary secondary sticky mobile desktop post article entry user".split()
+)
+_OF_FORM = frozenset(
+    "bar box list container wrapper wrap inner area block section item items link links button buttons form slot unit "
+    "top bottom left right main primary secondary".split()
+)
+#: Other people's text may be longer than the article, and be marked up as articles.
+_REPLIES = re.compile(r"comments?|commentlist|respond|disqus|replies|reply")
+_KEPT, _SOFT, _GONE = range(3)
 _CLOSES = {
     "p": _BLOCK - {"body", "html"},
     "li": frozenset({"li"}),
@@ -70,7 +81,7 @@ _CLOSES = {
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "chars", "tags", "link_chars", "link_tags", "density", "sum", "gone", "text")
+    __slots__ = ("tag", "parent", "children", "chars", "tags", "link_chars", "link_tags", "density", "sum", "gone", "drop")
 
     def __init__(self, tag: str, parent: Node | None):
         self.tag, self.parent = tag, parent
@@ -78,20 +89,80 @@ class Node:
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.sum = 0.0
         self.gone = False
+        self.drop = _KEPT
+
+
+def _named(token: str, inside_article: bool) -> int:
+    """Whether a token names a part that is no article, and whether it may still hold one."""
+    parts = [p.rstrip("0123456789") for p in re.split("[_-]+", token.lower())]
+    parts = [p for p in parts if p]
+    named = [k for k, p in enumerate(parts) if _NAMED.fullmatch(p)]
+    if not named or any(p not in _OF_PLACE for p in parts[: named[0]]):
+        return _KEPT
+    if any(k not in named and p not in _OF_FORM for k, p in enumerate(parts) if k > named[0]):
+        return _KEPT
+    words = {parts[k] for k in named}
+    if words == {"header"} and (inside_article or not {"post", "article", "entry"}.isdisjoint(parts)):
+        return _KEPT  # an article's own heading
+    return _GONE if any(map(_REPLIES.fullmatch, words)) else _SOFT
 
 
-def _gone(tag: str, attributes: str, inside_article: bool) -> bool:
-    if tag in _DROPPED or tag == "header" and not inside_article:
-        return True
+def _drop(tag: str, attributes: str, inside_article: bool) -> int:
+    if tag in _DROPPED and tag != "form" or tag == "header" and not inside_article:
+        return _GONE
+    drop = _SOFT if tag == "form" else _KEPT
     for m in _ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), (m[2] or "").strip("\"'")
         if name == "hidden" or name == "style" and re.search(r"display\s*:\s*none", value, re.I):
-            return True
+            return _GONE
         if name in ("class", "id", "role") and tag not in ("html", "body", "article", "main"):
-            words = (w[0].strip(" _-").lower() for w in _NAMED.finditer(value))
-            if any(not (inside_article and w == "header") for w in words):  # an article's own heading
-                return True
-    return False
+            drop = max([drop, *(_named(token, inside_article) for token in value.split())])
+    return drop
+
+
+def _leave_out(nodes: list[Node]) -> None:
+    """Mark what is left out: not a named part or form that holds the article or most of the unlinked text."""
+    soft: set[Node] = set()
+    linked: set[Node] = set()
+    for node in nodes:
+        up = node.parent
+        node.gone = node.drop == _GONE or up is not None and up.gone
+        if node.drop == _SOFT or up in soft:
+            soft.add(node)
+        if node.tag == "a" or up in linked:
+            linked.add(node)
+    if not soft:
+        return
+    plain: dict[Node, int] = {}
+    own: dict[Node, int] = {}
+    mains: dict[Node, int] = {}
+    articles: dict[Node, int] = {}
+    for node in reversed(nodes):
+        if node.gone:
+            continue
+        text = 0 if node in linked else sum(len(c.strip()) for c in node.children if isinstance(c, str))
+        own[node] = own.get(node, 0) + text
+        plain[node] = plain.get(node, 0) + text
+        up = node.parent
+        if up is not None:
+            plain[up] = plain.get(up, 0) + plain[node]
+            if node.tag not in _BLOCK:
+                own[up] = own.get(up, 0) + own[node]
+            mains[up] = mains.get(up, 0) + mains.get(node, 0) + (node.tag == "main")
+            articles[up] = articles.get(up, 0) + articles.get(node, 0) + (node.tag == "article")
+    within: dict[Node, Node] = {}  # the nearest article around a node, else the body
+    outside = any(n.tag in ("article", "main") and not n.gone and n not in soft and plain[n] for n in nodes)
+    for node in nodes:
+        up = node.parent
+        within[node] = node if up is None or node.tag in ("article", "main") else within[up]
+        if node.gone or up is not None and up.gone:
+            node.gone = True
+        elif node.drop == _SOFT:
+            text = plain[node] - (own[node] if node.tag == "form" else 0)  # labels are no article
+            holds = mains.get(node, 0) or articles.get(node, 0) and not outside
+            # beside an article of the page, size makes no article; inside one, the article's text is what counts
+            beside = outside and within[node] is nodes[0]
+            node.gone = not holds and (beside or 2 * text <= plain[within[node]])
 
 
 def parse(page: str) -> tuple[Node, list[Node]]:
@@ -128,7 +199,7 @@ def parse(page: str) -> tuple[Node, list[Node]]:
         if tag in _CLOSES.get(node.tag, ()):
             here = node.parent
         child = Node(tag, here)
-        child.gone = here.gone or _gone(tag, m[3], articles > 0)
+        child.drop = _drop(tag, m[3], articles > 0)
         here.children.append(child)
         nodes.append(child)
         if tag in _RAW:
@@ -139,6 +210,7 @@ def parse(page: str) -> tuple[Node, list[Node]]:
         elif tag not in _VOID and not m[3].endswith("/"):
             here = child
             articles += tag in ("article", "main")
+    _leave_out(nodes)
     return root, nodes
 
 

@@ -115,3 +115,23 @@ def test_several_articles():
     want = [*map(line, range(4)), "Short", *map(line, range(4, 8))]
     for page in (three, f"<main>{three}</main>", f"<div><a href=x>Home</a></div><div>{three}</div>"):
         assert html.main_text(f"<body>{page}</body>").split("\n") == want
+
+
+@pytest.mark.parametrize("wrapper", [
+    'div class="page no-sidebar"', 'div class="has-header"', 'div class="content-with-sidebar"', 'div id="search-page"',
+    'div class="page sidebar"', 'form action="/"', 'div class="widget-area"',
+])
+def test_wrappers_named_like_parts(wrapper):
+    end = f"</{wrapper.split()[0]}>"
+    want = list(map(line, range(4)))
+    for inner in (f"<article>{paragraphs(0)}</article>", f"<div>{paragraphs(0)}</div>"):
+        page = f"<body><{wrapper}><div class='ad-slot'>buy</div>{inner}{end}<div class=comments>{paragraphs(9, 9)}</div></body>"
+        assert html.main_text(page).split("\n") == want
+
+
+def test_names_inside_an_article():
+    parts = "<p class='share-price'>Price</p><div class='side-by-side'><p>Both</p></div><div class='share-buttons'>Tweet</div>"
+    rest = "<div class='cookie-notice'>Cookies</div><div id=site-footer>Foot</div><section class=related><article>Teaser</article></section>"
+    page = f"<body><article>{paragraphs(0)}{parts}</article>{rest}</body>"
+    assert html.main_text(page).split("\n") == [*map(line, range(4)), "Price", "Both"]
+    assert html.main_text(f"<body><div>{paragraphs(0)}</div><form><div>Name</div></form></body>").split("\n") == list(map(line, range(4)))
