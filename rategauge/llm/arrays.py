@@ -74,6 +74,30 @@ def word_bounds(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return np.flatnonzero(starts), np.flatnonzero(ends) + 1
 
 
+def runs(inside: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of every run of marked bytes; a run ends with its row."""
+    edge = np.zeros(len(inside) + 1, bool)
+    edge[at] = True
+    before = np.concatenate([[False], inside[:-1]]) & ~edge[:-1]
+    after = np.concatenate([inside[1:], [False]]) & ~edge[1:]
+    return np.flatnonzero(inside & ~before), np.flatnonzero(inside & ~after) + 1
+
+
+def strings(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.LargeStringArray:
+    """The runs as an Arrow array; they do not overlap and are in order."""
+    edge = np.zeros(len(raw) + 1, np.int8)
+    edge[starts] += 1
+    edge[ends] -= 1
+    kept = raw[np.cumsum(edge[:-1], dtype=np.int8) > 0]
+    offsets = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int64)
+    return pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(kept))
+
+
+def ascii_lower(raw: np.ndarray) -> np.ndarray:
+    """Bytes with A-Z lower-cased."""
+    return _LOWER[raw]
+
+
 def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of every word's bytes: a polynomial in them, then mixed."""
     if len(starts) == 0:

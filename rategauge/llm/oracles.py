@@ -78,7 +78,45 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM f
 """
 
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP11 = rf"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+s AS (
+  SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w WHERE len(w) > 0),
+g AS (
+  SELECT lang, array_to_string(w[i:i + k - 1], ' ') AS phrase, k, count(*) AS a
+  FROM s, range(1, 4) AS t(k) WHERE i + k - 1 <= len(w) GROUP BY ALL),
+n AS (
+  SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM g WHERE k = 1 GROUP BY lang),
+f AS (
+  SELECT * FROM g WHERE a >= 10),
+c AS (
+  SELECT lang, phrase, k, a, j, string_split(phrase, ' ') AS w FROM f, range(1, 3) AS t(j) WHERE j < k),
+x AS (
+  SELECT c.lang, c.phrase, c.k, c.a, c.j, l.a AS l, r.a AS r,
+         1000000::HUGEINT * c.a * c.a // (l.a::HUGEINT * r.a) AS score
+  FROM c JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[:c.j], ' ')
+         JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[c.j + 1:], ' ')),
+b AS (
+  SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+d AS (
+  SELECT DISTINCT b.lang, b.phrase
+  FROM b JOIN c t ON t.k = 3 AND t.lang = b.lang
+    AND b.phrase = array_to_string(t.w[t.j:t.j + 1], ' ') AND 100 * t.a >= 50 * b.a
+  WHERE b.k = 2),
+q AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, score
+  FROM b ANTI JOIN d USING (lang, phrase))
+SELECT q.lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, n.n, CAST(score AS BIGINT) AS score
+FROM q JOIN n ON n.lang = q.lang WHERE rank <= 2000
+"""
+
 ORACLES = {
+    "op11_phrase_mining": OP11,
     "op7_mixing": OP7,
     "op10_quality_rules": OP10,
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rategauge.llm import html, minhash, mixing, oracles, pieces, pii, quality, suffix_levels, suffix_trees, syncmers, urls
+from rategauge.llm import html, minhash, mixing, oracles, phrases, pieces, pii, quality, suffix_levels, suffix_trees, syncmers, urls
 
 #: Where the public vocabulary is; every executor can read it.
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -79,6 +79,11 @@ def op10_quality_rules(spark, sf_dir):
     )
 
 
+def op11_phrase_mining(spark, sf_dir):
+    """The 2,000 best phrases of two or three words of each lang."""
+    return phrases.collocations(_table(spark, sf_dir, "documents"), longest=3, least=10, percent=50, top=2000)
+
+
 QUERIES = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
@@ -90,6 +95,7 @@ QUERIES = {
     "op8_fingerprints": op8_fingerprints,
     "op9_html_extraction": op9_html_extraction,
     "op10_quality_rules": op10_quality_rules,
+    "op11_phrase_mining": op11_phrase_mining,
 }
 
 ORACLES = oracles.ORACLES
