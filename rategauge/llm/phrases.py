@@ -35,9 +35,9 @@ from rategauge.llm.text import whole
 from rategauge.plans.scratch import stored
 
 #: Words that become one automaton.
-SHARD_WORDS = 1 << 21
+SHARD_WORDS = 1 << 19
 #: Bytes of text, or frequent n-grams, that one range stands for.
-RANGE_BYTES, RANGE_GRAMS = 16 << 20, 200_000
+RANGE_BYTES, RANGE_GRAMS = 8 << 20, 200_000
 #: N-grams sampled for each range, and texts to take them from.
 SAMPLES, SAMPLE_TEXTS = 100, 4000
 UNKNOWN = "und"
