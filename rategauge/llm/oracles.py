@@ -115,7 +115,50 @@ SELECT q.lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAS
 FROM q JOIN n ON n.lang = q.lang WHERE rank <= 2000
 """
 
+#: CRC-32 of a word's UTF-8 bytes: the table of its polynomial, then one look-up a byte.
+CRC = """list_reduce(
+      list_prepend(4294967295::BIGINT, list_transform(range(0, len(hex(w)) // 2), lambda i: CAST('0x' || substr(hex(w), 2 * i + 1, 2) AS BIGINT))),
+      lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))"""
+
+OP12 = rf"""
+WITH crc AS (
+  SELECT list(list_reduce(list_prepend(n, [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+                          lambda c, z: CASE WHEN c & 1 = 1 THEN xor(3988292384::BIGINT, c >> 1) ELSE c >> 1 END) ORDER BY n) AS t
+  FROM range(256) AS x(n)),
+d AS (
+  SELECT row_number() OVER () AS i, doc_id, regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+f AS (
+  SELECT 0 AS side, i, unnest(words) AS w FROM d
+  UNION ALL
+  SELECT 1, NULL, unnest(regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) FROM benchmark),
+v AS (
+  SELECT w, xor({CRC}, 4294967295::BIGINT) % 10000 AS bucket FROM (SELECT DISTINCT w FROM f), crc),
+b AS (
+  SELECT side, i, bucket, count(*) AS n FROM f JOIN v USING (w) GROUP BY ALL),
+o AS (
+  SELECT bucket, CAST(sum(n) FILTER (side = 0) AS DOUBLE) AS s, CAST(coalesce(sum(n) FILTER (side = 1), 0) AS DOUBLE) AS t
+  FROM b GROUP BY bucket),
+g AS (
+  SELECT bucket, CAST(floor(1000 * ln((t + 1) * (sum(coalesce(s, 0)) OVER () + 10000)
+                                      / ((coalesce(s, 0) + 1) * (sum(t) OVER () + 10000)))) AS BIGINT) AS gain
+  FROM o),
+w AS (
+  SELECT i, CAST(sum(n * gain) AS BIGINT) AS weight FROM b JOIN g USING (bucket) WHERE side = 0 GROUP BY i),
+h AS (
+  SELECT d.i, doc_id, CAST(len(words) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+         CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS h
+  FROM d LEFT JOIN w ON d.i = w.i),
+c AS (
+  SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score FROM h),
+r AS (
+  SELECT i, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, n_features) AS rank, count(*) OVER () AS all_rows
+  FROM c WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 10 * all_rows // 100 THEN rank END AS rank
+FROM c LEFT JOIN r ON c.i = r.i
+"""
+
 ORACLES = {
+    "op12_importance_resampling": OP12,
     "op11_phrase_mining": OP11,
     "op7_mixing": OP7,
     "op10_quality_rules": OP10,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rategauge.llm import html, minhash, mixing, oracles, phrases, pieces, pii, quality, suffix_levels, suffix_trees, syncmers, urls
+from rategauge.llm import hamming, html, minhash, mixing, oracles, phrases, pieces, pii, quality, resample, suffix_levels, suffix_trees, syncmers, urls
 
 #: Where the public vocabulary is; every executor can read it.
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -84,6 +84,17 @@ def op11_phrase_mining(spark, sf_dir):
     return phrases.collocations(_table(spark, sf_dir, "documents"), longest=3, least=10, percent=50, top=2000)
 
 
+def op12_importance_resampling(spark, sf_dir):
+    """A tenth of the documents, drawn by how much likelier their words are in the benchmark."""
+    docs, target = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    return resample.resampled(docs, target, longest=1, buckets=10_000, seed=2024, percent=10, least_words=20)
+
+
+def op13_nearest_neighbours(spark, sf_dir):
+    """The 20 nearest vectors of every row whose id is divisible by 20."""
+    return hamming.nearest(_table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0", k=20)
+
+
 QUERIES = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
@@ -96,6 +107,8 @@ QUERIES = {
     "op9_html_extraction": op9_html_extraction,
     "op10_quality_rules": op10_quality_rules,
     "op11_phrase_mining": op11_phrase_mining,
+    "op12_importance_resampling": op12_importance_resampling,
+    "op13_nearest_neighbours": op13_nearest_neighbours,
 }
 
 ORACLES = oracles.ORACLES

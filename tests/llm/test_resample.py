@@ -1,0 +1,77 @@
+"""Importance resampling against a plain count, with head and tail and runs of several words."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import re
+import zlib
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from rategauge.llm import resample
+from tests.llm.conftest import EDGES, prose
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+TARGET = [(0, "Alpha one beta MU two"), (1, None), (2, "alpha9 é x1 " + prose(1, 30)), (2, "")]
+
+
+def features(text, longest):
+    w = WORD.findall((text or "").translate(LOWER))
+    return [" ".join(w[i : i + k]) for k in range(1, longest + 1) for i in range(len(w) - k + 1)], len(w)
+
+
+def brute(docs, target, longest, buckets, percent, least):
+    bucket = lambda f: zlib.crc32(f.encode()) % buckets
+    found = [(i, *features(t, longest)) for i, t in docs]
+    s = Counter(bucket(f) for _, fs, _ in found for f in fs)
+    t = Counter(bucket(f) for _, x in target for f in features(x, longest)[0])
+    S, T = float(s.total()), float(t.total())
+    gain = {b: math.floor(1000 * math.log((t[b] + 1.0) * (S + buckets) / ((s[b] + 1.0) * (T + buckets)))) for b in s}
+    rows = []
+    for i, fs, n in found:
+        weight = sum(gain[bucket(f)] for f in fs)
+        h = int(hashlib.sha256(f"2024:{'' if i is None else i}".encode()).hexdigest()[:8], 16)
+        rows.append((i, len(fs), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296))), n))
+    able = sorted((r for r in rows if r[4] >= least), key=lambda r: (-r[3], r[0] is None, r[0] or 0, r[1]))
+    draw = percent * len(able) // 100
+    out = [(*r[:4], k + 1 if k < draw else None) for k, r in enumerate(able)]
+    return sorted([*out, *((*r[:4], None) for r in rows if r[4] < least)], key=repr)
+
+
+@pytest.fixture(scope="module")
+def target(spark):
+    return spark.createDataFrame(TARGET, "item_id int, text string")
+
+
+@pytest.mark.parametrize("longest, buckets, head", [(1, 10_000, 20_000), (1, 100_000, 3), (2, 50, 5), (4, 1000, 0)])
+def test_edges(spark, edges, clashing, nothing, target, monkeypatch, longest, buckets, head):
+    monkeypatch.setattr(resample, "HEAD_WORDS", head)
+    monkeypatch.setattr(resample, "HEAD_PAIRS", head)
+    want = brute([(r[0], r[1]) for r in EDGES], TARGET, longest, buckets, 50, 5)
+    assert sum(r[4] is not None for r in want) > 2
+    options = dict(longest=longest, buckets=buckets, percent=50, least_words=5)
+    got = lambda df, to=target: sorted(map(tuple, resample.resampled(df, to, **options).collect()), key=repr)
+    assert got(edges) == want
+    assert got(clashing) == want
+    assert got(nothing) == []
+    assert got(edges, target.limit(0)) == brute([(r[0], r[1]) for r in EDGES], [], longest, buckets, 50, 5)
+
+
+def test_head_is_most_frequent(spark, edges):
+    head = resample.head_of(edges, pairs=True)
+    found = Counter(f for r in EDGES for f in features(r[1], 2)[0] if max(map(len, f.split())) <= resample.HEAD_BYTES)
+    assert {w.decode() for w in head.words} == {f for f in found if " " not in f}
+    assert {w.decode(): c for w, c in head.pairs.items()} == {f: zlib.crc32(f.encode()) for f in found if " " in f}
+
+
+def test_ranks_of_hot_rows(spark):
+    """A third of the rows are equal; ranks are still 1 to n without gaps."""
+    rows = spark.range(3000, numPartitions=4).select(F.when(F.col("id") % 3 > 0, F.col("id") % 500).alias("v"))
+    out = resample.ranks(rows, [F.desc_nulls_first("v")]).collect()
+    out.sort(key=lambda r: r.rank)
+    assert [r.rank for r in out] == list(range(1, 3001))
+    assert [r.v for r in out] == sorted((r.v for r in out), key=lambda v: (v is not None, -(v or 0)))
