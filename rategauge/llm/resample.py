@@ -41,6 +41,8 @@ BUCKETS = 10_000
 HEAD_WORDS, HEAD_PAIRS, HEAD_BYTES = 20_000, 20_000, 64
 #: Distinct words (or pairs) that a task counts before it gives them out.
 HELD = 1 << 18
+#: Steps of a power of two in which counts are told apart.
+STEPS = 8
 
 #: Bytes of words: digits, lower-case letters and all that is not ASCII (fixed by contract).
 _WORD = np.zeros(256, bool)
@@ -104,7 +106,7 @@ def features(column: pa.Array, longest: int, head: Head) -> tuple[np.ndarray, np
 
 
 def head_of(docs: DataFrame, pairs: bool, text: str = "text") -> Head:
-    """The most frequent words and pairs of all documents; ties to the smaller bytes."""
+    """The most frequent words and pairs of all documents, as many as fit and all of a count or none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count: dict[tuple[bool, bytes], int] = {}
@@ -133,13 +135,21 @@ def head_of(docs: DataFrame, pairs: bool, text: str = "text") -> Head:
         yield given()
 
     source = docs.select(whole(text).alias("text"))
-    totals = source.mapInArrow(run, "pair boolean, feature binary, n long").groupBy("pair", "feature").agg(F.sum("n").alias("n"))
-    totals = stored(totals, "vocabulary") if pairs else totals
-    frequent = F.desc("n"), F.asc("feature")
-    words = totals.where("NOT pair").orderBy(*frequent).limit(HEAD_WORDS).collect()
-    states = {bytes(r.feature): zlib.crc32(r.feature) for r in words}
-    two = totals.where("pair").orderBy(*frequent).limit(HEAD_PAIRS).collect() if pairs else []
-    return Head(states, {bytes(r.feature): zlib.crc32(r.feature) for r in two})
+    found = source.mapInArrow(run, "pair boolean, feature binary, n long").groupBy("pair", "feature").agg(F.sum("n").alias("n"))
+    found = stored(found.withColumn("step", F.floor(F.log2("n") * STEPS)), "vocabulary")
+    words = _most(found.where("NOT pair"), HEAD_WORDS)
+    two = _most(found.where("pair"), HEAD_PAIRS) if pairs else []
+    return Head({w: zlib.crc32(w) for w in words}, {w: zlib.crc32(w) for w in two})
+
+
+def _most(found: DataFrame, limit: int) -> list[bytes]:
+    """Features above the lowest count (to an eighth of a power of two) that at most ``limit`` pass."""
+    steps = sorted(found.groupBy("step").count().collect(), reverse=True)
+    passed = np.cumsum([n for _, n in steps])
+    kept = int(np.searchsorted(passed, limit, side="right"))
+    if not kept:
+        return []
+    return [bytes(r.feature) for r in found.where(F.col("step") >= steps[kept - 1].step).select("feature").collect()]
 
 
 def bucketed(docs: DataFrame, longest: int, buckets: int, head: Head, id: str, text: str) -> DataFrame:
