@@ -20,32 +20,48 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
     The ledger is stored before the policy reads it: a filter on its bits would otherwise be pushed
     below the measurements, and Catalyst would write their whole tree out for every use.
+
+    Null and empty texts have too few words and go; rows that repeat are judged alike; ids play no part;
+    an empty table stays empty.
     """
     entries = stored(quality.ledger(docs.select(*COLUMNS)).select(*COLUMNS, quality.FAILURES), "ledger")
     return entries.where(quality.kept(quality.STANDARD)).select(*COLUMNS)
 
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-copies: five-word shingles, similarity 0.8."""
-    docs = docs.select(*COLUMNS)
-    groups = minhash.near_duplicates(docs, words=5, percent=80)
-    gone = groups.where("NOT kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    """One document of each group of near-copies: five-word shingles, similarity 0.8.
+
+    The smallest id stays, an id before null; of rows with one id and text, one; of rows with one id and
+    different texts, each by its own text. Texts without words are no copies of each other and stay; an
+    empty table stays empty.
+    """
+    return minhash.one_of_each(docs.select(*COLUMNS), words=5, percent=80)
 
 
 def pii_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data replaced by the name of its kind; n_chars follows."""
+    """Personal data replaced by the name of its kind; n_chars follows.
+
+    Every row stays. A null text and its n_chars are null, an empty text is empty; rows that repeat are
+    redacted alike.
+    """
     clean = pii.redacted(docs.select(*COLUMNS))
     return clean.withColumn("n_chars", F.length("text").cast("long"))
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix of its source takes it."""
+    """Every document as often as the mix of its source takes it.
+
+    A null source is a source of its own; null and empty texts have no words, so they stay as their
+    source's share has it; an empty table stays empty.
+    """
     return mixing.mixed(docs.select(*COLUMNS)).select(*COLUMNS)
 
 
 def sentencepiece_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``(doc_id, n_ids, ids, round_trip)`` of every document of the mix."""
+    """``(doc_id, n_ids, ids, round_trip)`` of every document of the mix.
+
+    Null and empty texts have no ids; rows that repeat and null ids are rows as others.
+    """
     return pieces.encoded(docs, PIECE_MODEL)
 
 
