@@ -237,6 +237,7 @@ UNION ALL SELECT 'under' AS side, {DIFF_COLUMNS} FROM ({under_top})""",
 SELECT id, 'listings_1997-05.csv' AS source_file, 'adhoc' AS run_type,
   'batch_1' AS final_log_file_name FROM clean""",
         "csv_roundtrip": csv_text,
+        "csv_text_roundtrip": "SELECT doc_id, nullif(text, '') AS text FROM documents",
         "csv_schema_read": csv_text,
         "csv_infer_read": """
 SELECT CAST(p_partkey AS INTEGER) AS p_partkey, p_retailprice FROM part""",
@@ -261,6 +262,12 @@ FROM verdicts""",
         "backfill_report_avg": average_report("TRUE"),
         "backfill_report_over": ranked(5, "DESC"),
         "monthly_report_over": ranked(5, "DESC"),
+        "monthly_report_over_deep": ranked(30, "DESC", where=f"year_month = '{MONTH}'"),
+        "monthly_report_csv": ranked(5, "ASC", where=ONE_GROUP),
+        "monthly_lineitem_averages": f"""
+SELECT * REPLACE (CAST(l_suppkey AS VARCHAR) AS l_suppkey) FROM ({typed_averages(LINES, "l_suppkey")})""",
+        "backfill_one_pass": f"""
+SELECT *, CAST(sum(listing_count) OVER (PARTITION BY year_month) AS BIGINT) AS rows_accepted FROM ({averages})""",
         "monthly_report_under": ranked(5, "ASC", where=ONE_GROUP),
         "roles_lineitem_avg": typed_averages(LINES, "l_suppkey"),
         "roles_lineitem_top": ranked(

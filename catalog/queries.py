@@ -22,9 +22,21 @@ from rategauge.operators import (
     top_over_under,
 )
 from rategauge.operators.rank import OVER, UNDER
-from rategauge.plans import MonthlyRun, deviations, join_deviations, run_month, run_reports
+from rategauge.operators.report import of_month_and_group
+from rategauge.plans import (
+    MonthlyRun,
+    Store,
+    csv_reports,
+    deviations,
+    export_csv,
+    join_deviations,
+    run_month,
+    run_months,
+    run_reports,
+)
 from rategauge.plans.deviations import measure
 from rategauge.plans.scratch import scratch_path, stored
+from rategauge.plans.store import REJECTED
 from rategauge.roles import LISTING, Roles
 from rategauge.schemas import (
     AVERAGE_CSV,
@@ -38,7 +50,6 @@ from rategauge.sinks import overwrite_months, write_csv, write_parquet
 from rategauge.sources import (
     month_file,
     read_average_table,
-    read_classified,
     read_listings,
     read_ranked_table,
     require_rows,
@@ -163,16 +174,31 @@ def report_avg_group(spark, sf_dir):
     return average_report(avg_price(spark, sf_dir), group=GROUP)
 
 
-def _ranked(side: str, **filters) -> Query:
-    def query(spark, sf_dir):
-        if filters:  # a small part: the view is not worth storing
-            diffs = deviations(_clean(spark, sf_dir), **filters)
-        else:
-            diffs = _diffs(spark, sf_dir)
-        report = ranked_report(diffs, REPORT_ROWS, side, **filters)
-        return report.select(*DIFF_COLUMNS, "rank")
+def _ranked(spark: SparkSession, sf_dir: str, side: str, **filters) -> DataFrame:
+    """The view is a join: what the filters leave of it is stored once, for averages and ranks."""
+    clean = of_month_and_group(_clean(spark, sf_dir), filters.get("month"), filters.get("group"))
+    diffs = deviations(stored(clean, "clean"))
+    return ranked_report(diffs, REPORT_ROWS, side, **filters).select(*DIFF_COLUMNS, "rank")
+
+
+def report_over_all(spark, sf_dir):
+    return _ranked(spark, sf_dir, OVER)
+
+
+def report_under_all(spark, sf_dir):
+    return _ranked(spark, sf_dir, UNDER)
+
+
+def report_over_month(spark, sf_dir):
+    return _ranked(spark, sf_dir, OVER, month=MONTH)
+
 
-    return query
+def report_over_one(spark, sf_dir):
+    return _ranked(spark, sf_dir, OVER, group=GROUP)
+
+
+def report_under_one(spark, sf_dir):
+    return _ranked(spark, sf_dir, UNDER, group=GROUP)
 
 
 # -- tracking, sources, sinks -----------------------------------------------
@@ -189,6 +215,14 @@ def csv_roundtrip(spark, sf_dir):
     return read_listings(spark, path).select("id", LISTING.group, "price")
 
 
+def csv_text_roundtrip(spark, sf_dir):
+    """Whole texts with line breaks, commas and quotes through CSV; the data decide how it is read."""
+    path = scratch_path(spark, "documents_csv")
+    write_csv(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
+    read = read_listings(spark, path)
+    return read.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+
+
 def csv_schema_read(spark, sf_dir):
     path = scratch_path(spark, "listings_csv")
     write_csv(_clean(spark, sf_dir).select(*RAW_LISTING.names), path)
@@ -239,36 +273,32 @@ def stored_over_csv(spark, sf_dir):
     return report.select(*DIFF_COLUMNS, "rank")
 
 
-# -- the monthly run, from raw CSV to stored tables ---------------------------
+# -- the monthly run, from raw CSV to published tables -------------------------
 
 
-def _monthly(spark: SparkSession, sf_dir: str, times: int = 1):
+def _monthly(spark: SparkSession, sf_dir: str, times: int = 1) -> Store:
     """The whole view written as one month's input, then run."""
     root = scratch_path(spark, "run")
     source = month_file(f"{root}/in", MONTH)
     write_csv(listings(spark, sf_dir), source)
-    run = MonthlyRun(
-        MONTH, source, f"{root}/out", "batch_1", "adhoc", top_k=TOP, multi_line=False
-    )
+    run = MonthlyRun(MONTH, source, f"{root}/out", "batch_1", "adhoc", top_k=TOP)
     for _ in range(times - 1):
         run_month(spark, run)
     return run_month(spark, run)
 
 
 def monthly_averages(spark, sf_dir):
-    stored = read_average_table(spark, _monthly(spark, sf_dir).averages)
-    return stored.select(*KEYS, "listing_count", "avg_price", "run_type", "final_log_file_name")
+    averages = _monthly(spark, sf_dir).averages()
+    return averages.select(*KEYS, "listing_count", "avg_price", "run_type", "final_log_file_name")
 
 
 def monthly_rejects(spark, sf_dir):
-    stored = read_classified(spark, _monthly(spark, sf_dir).classified, "rejected")
-    return stored.select("id", "reject_reason", "run_type")
+    return _monthly(spark, sf_dir).classified(REJECTED).select("id", "reject_reason", "run_type")
 
 
 def monthly_audit(spark, sf_dir):
     """Two runs of one month: counts agree, and the audit keeps both."""
-    layout = _monthly(spark, sf_dir, times=2)
-    audit = spark.read.parquet(layout.audit)
+    audit = _monthly(spark, sf_dir, times=2).audit()
     return audit.groupBy("month", "status").agg(
         F.sum("rows_read").alias("rows_read"),
         F.sum("rows_accepted").alias("rows_accepted"),
@@ -286,24 +316,52 @@ def monthly_report_over(spark, sf_dir):
     return report.select(*DIFF_COLUMNS, "rank")
 
 
+def monthly_report_over_deep(spark, sf_dir):
+    """Three times as many records as the lists hold, of one month."""
+    report = run_reports(spark, _monthly(spark, sf_dir).root, month=MONTH, n=3 * TOP).over
+    return report.select(*DIFF_COLUMNS, "rank")
+
+
 def monthly_report_under(spark, sf_dir):
     report = run_reports(spark, _monthly(spark, sf_dir).root, group=GROUP, n=5).under
     return report.select(*DIFF_COLUMNS, "rank")
 
 
-def _backfill(spark: SparkSession, sf_dir: str):
-    """Two runs whose files both hold records of all months, the first one rerun."""
-    root = scratch_path(spark, "backfill")
+def monthly_report_csv(spark, sf_dir):
+    """The second job reads what the first one exported as CSV."""
+    root = _monthly(spark, sf_dir).root
+    report = csv_reports(spark, export_csv(spark, root, f"{root}/csv"), group=GROUP, n=5).under
+    return report.select(*DIFF_COLUMNS, "rank")
+
+
+def monthly_lineitem_averages(spark, sf_dir):
+    """The run on a table with columns of its own, two of which identify a record."""
+    root = scratch_path(spark, "lines")
+    source = month_file(f"{root}/in", MONTH, "lineitem")
+    lines = ORDER_LINES.project(table(spark, sf_dir, "lineitem"))
+    write_csv(lines.withColumn("l_shipdate", F.col("l_shipdate").cast("date")), source)
+    run = MonthlyRun(MONTH, source, f"{root}/out", "lines_1", "adhoc", top_k=TOP, roles=ORDER_LINES)
+    averages = run_month(spark, run).averages()
+    return averages.select("year_month", ORDER_LINES.group, "listing_count", "avg_price")
+
+
+def _halves(spark: SparkSession, sf_dir: str, root: str) -> list[str]:
+    """Two input files that both hold records of all months."""
     view = stored(listings(spark, sf_dir), "view")
     halves = {"1997-05": 0, "1997-06": 1}
     for month, rest in halves.items():
         of_run = view.filter(F.pmod(F.xxhash64("id"), F.lit(2)) == rest)
         write_csv(of_run, month_file(f"{root}/in", month))
-    for month in ("1997-05", "1997-06", "1997-05"):
+    return list(halves)
+
+
+def _backfill(spark: SparkSession, sf_dir: str) -> str:
+    """A run for each of two files, the first one rerun."""
+    root = scratch_path(spark, "backfill")
+    first, second = _halves(spark, sf_dir, root)
+    for month in (first, second, first):
         source = month_file(f"{root}/in", month)
-        run_month(
-            spark, MonthlyRun(month, source, f"{root}/out", "fill", "adhoc", top_k=TOP, multi_line=False)
-        )
+        run_month(spark, MonthlyRun(month, source, f"{root}/out", "fill", "adhoc", top_k=TOP))
     return f"{root}/out"
 
 
@@ -316,6 +374,14 @@ def backfill_report_over(spark, sf_dir):
     return report.select(*DIFF_COLUMNS, "rank")
 
 
+def backfill_one_pass(spark, sf_dir):
+    """Both files in one run; the audit has rows of each, the averages are of both."""
+    root = scratch_path(spark, "one_pass")
+    store = run_months(spark, _halves(spark, sf_dir, root), f"{root}/in", f"{root}/out", "fill", top_k=TOP)
+    read = store.audit().groupBy("year_month").agg(F.sum("rows_accepted").alias("rows_accepted"))
+    return store.averages().join(read, "year_month").select(*KEYS, "listing_count", "avg_price", "rows_accepted")
+
+
 # -- other tables through other roles ----------------------------------------
 
 
@@ -351,49 +417,57 @@ def roles_events_renamed(spark, sf_dir):
     return quality_totals(classify(events), ["year_month"])
 
 
+QUERIES: dict[str, Query] = {
+    "price_parse": price_parse,
+    "month_key": month_key,
+    "clean_accept": clean_accept,
+    "clean_reject": clean_reject,
+    "clean_split": clean_split,
+    "quality_summary": quality_by_reason,
+    "quality_by_month": quality_by_month,
+    "avg_price": avg_price,
+    "price_diffs": price_diffs,
+    "price_diffs_split": price_diffs_split,
+    "top_over": top_over,
+    "top_under": top_under,
+    "top_over_under": top_both_sides,
+    "top_over_monthly": top_over_monthly,
+    "report_avg_all": report_avg_all,
+    "report_avg_month": report_avg_month,
+    "report_avg_group": report_avg_group,
+    "report_over_all": report_over_all,
+    "report_under_all": report_under_all,
+    "report_over_month": report_over_month,
+    "report_over_one": report_over_one,
+    "report_under_one": report_under_one,
+    "tracking": tracking,
+    "csv_roundtrip": csv_roundtrip,
+    "csv_text_roundtrip": csv_text_roundtrip,
+    "csv_schema_read": csv_schema_read,
+    "csv_infer_read": csv_infer_read,
+    "parquet_roundtrip": parquet_roundtrip,
+    "month_backfill": month_backfill,
+    "stored_avg_csv": stored_avg_csv,
+    "stored_over_csv": stored_over_csv,
+    "monthly_averages": monthly_averages,
+    "monthly_rejects": monthly_rejects,
+    "monthly_audit": monthly_audit,
+    "monthly_report_avg": monthly_report_avg,
+    "monthly_report_over": monthly_report_over,
+    "monthly_report_over_deep": monthly_report_over_deep,
+    "monthly_report_under": monthly_report_under,
+    "monthly_report_csv": monthly_report_csv,
+    "monthly_lineitem_averages": monthly_lineitem_averages,
+    "backfill_report_avg": backfill_report_avg,
+    "backfill_report_over": backfill_report_over,
+    "backfill_one_pass": backfill_one_pass,
+    "roles_lineitem_avg": roles_lineitem_avg,
+    "roles_lineitem_top": roles_lineitem_top,
+    "roles_events_avg": roles_events_avg,
+    "roles_events_top": roles_events_top,
+    "roles_events_renamed": roles_events_renamed,
+}
+
+
 def queries() -> dict[str, Query]:
-    return {
-        "price_parse": price_parse,
-        "month_key": month_key,
-        "clean_accept": clean_accept,
-        "clean_reject": clean_reject,
-        "clean_split": clean_split,
-        "quality_summary": quality_by_reason,
-        "quality_by_month": quality_by_month,
-        "avg_price": avg_price,
-        "price_diffs": price_diffs,
-        "price_diffs_split": price_diffs_split,
-        "top_over": top_over,
-        "top_under": top_under,
-        "top_over_under": top_both_sides,
-        "top_over_monthly": top_over_monthly,
-        "report_avg_all": report_avg_all,
-        "report_avg_month": report_avg_month,
-        "report_avg_group": report_avg_group,
-        "report_over_all": _ranked(OVER),
-        "report_under_all": _ranked(UNDER),
-        "report_over_month": _ranked(OVER, month=MONTH),
-        "report_over_one": _ranked(OVER, group=GROUP),
-        "report_under_one": _ranked(UNDER, group=GROUP),
-        "tracking": tracking,
-        "csv_roundtrip": csv_roundtrip,
-        "csv_schema_read": csv_schema_read,
-        "csv_infer_read": csv_infer_read,
-        "parquet_roundtrip": parquet_roundtrip,
-        "month_backfill": month_backfill,
-        "stored_avg_csv": stored_avg_csv,
-        "stored_over_csv": stored_over_csv,
-        "monthly_averages": monthly_averages,
-        "monthly_rejects": monthly_rejects,
-        "monthly_audit": monthly_audit,
-        "monthly_report_avg": monthly_report_avg,
-        "monthly_report_over": monthly_report_over,
-        "monthly_report_under": monthly_report_under,
-        "backfill_report_avg": backfill_report_avg,
-        "backfill_report_over": backfill_report_over,
-        "roles_lineitem_avg": roles_lineitem_avg,
-        "roles_lineitem_top": roles_lineitem_top,
-        "roles_events_avg": roles_events_avg,
-        "roles_events_top": roles_events_top,
-        "roles_events_renamed": roles_events_renamed,
-    }
+    return dict(QUERIES)

@@ -3,7 +3,10 @@
 from rategauge.functions.money import (
     amount_deviation,
     exact_mean,
+    exact_sum,
+    exact_total,
     has_positive_price,
+    mean_of,
     parse_price,
     percent_deviation,
 )
@@ -15,8 +18,11 @@ __all__ = [
     "as_date",
     "blank_to_null",
     "exact_mean",
+    "exact_sum",
+    "exact_total",
     "has_positive_price",
     "is_blank",
+    "mean_of",
     "month_key",
     "parse_price",
     "percent_deviation",

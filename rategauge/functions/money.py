@@ -51,21 +51,37 @@ def from_cents(whole: Column) -> Column:
     return (whole * F.lit("0.01").cast("decimal(3,2)")).try_cast(MONEY_DDL)
 
 
+def exact_total(price_num: Column) -> Column:
+    """Aggregate: sum of a decimal(10,2) column in whole cents, a bigint.
+
+    Sums of bigints are exact and do not depend on how the data are split.  A sum
+    beyond 9.2e18 cents ends the job, with ANSI mode on or off: it never wraps.
+    """
+    return exact_sum(cents(price_num))
+
+
+def exact_sum(whole: Column) -> Column:
+    """Aggregate: sum of a bigint column that ends the job where it does not fit."""
+    total = F.try_sum(whole)
+    lost = total.isNull() & (F.count(whole) > 0)
+    failure = F.raise_error(F.lit("a group's prices add up to more than a bigint of cents"))
+    return F.when(lost, failure.cast("bigint")).otherwise(total)
+
+
+def mean_of(total: Column, count: Column) -> Column:
+    """Mean as decimal(10,2) of ``count`` prices of ``total`` cents: half-up to 6 places, then to 2."""
+    share = F.try_divide(total.cast("decimal(19,0)"), count.cast("decimal(19,0)"))
+    return from_cents(F.round(F.round(share, 4), 0))
+
+
 def exact_mean(price_num: Column) -> Column:
     """Aggregate: mean of a decimal(10,2) column as decimal(10,2).
 
     Spark turns ``avg`` over short decimals into double arithmetic, whose last
     bits depend on the order of partial sums.  Whole cents in a bigint cost the
-    same, stay exact, and give one answer however the data are split.  The mean
-    is rounded half-up to 6 places, then to 2.  A sum beyond 9.2e18 cents ends
-    the job, with ANSI mode on or off: it never wraps.
+    same and stay exact.
     """
-    exact = F.try_sum(cents(price_num))
-    lost = exact.isNull() & (F.count(price_num) > 0)
-    failure = F.raise_error(F.lit("a group's prices add up to more than a bigint of cents"))
-    total = F.when(lost, failure.cast("bigint")).otherwise(exact).cast("decimal(19,0)")
-    count = F.count(price_num).cast("decimal(19,0)")
-    return from_cents(F.round(F.round(F.try_divide(total, count), 4), 0))
+    return mean_of(exact_total(price_num), F.count(price_num))
 
 
 def amount_deviation(price_num: Column, average: Column) -> Column:

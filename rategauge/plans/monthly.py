@@ -1,36 +1,40 @@
-"""One month from raw file to stored tables, and backfills of several."""
+"""Runs from raw files to published tables: one month, or many in one pass.
+
+A run reads its files once and leaves four tables in a folder of its own: the
+classified records, what they add to the averages (counts and cents), the extreme
+prices of each month and group, and the audit counts.  Then the months it touches
+are merged: averages from the sums and lists from the extremes of all live runs,
+without reading the records of earlier ones.  The last step publishes the manifest
+that names all of it; until then, and if the run fails, every earlier table stays
+as it was.
+"""
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass, replace
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from rategauge.functions import exact_sum, exact_total, mean_of
 from rategauge.operators.clean import classify
-from rategauge.operators.metrics import average_prices
+from rategauge.operators.extremes import extreme_prices, merged_lists
 from rategauge.operators.quality import quality_totals
 from rategauge.operators.rank import OVER, UNDER, top_over_under
 from rategauge.operators.tracking import add_tracking, file_name_column
 from rategauge.plans.deviations import join_deviations
-from rategauge.plans.layout import Layout
+from rategauge.plans.manifest import BaseMoved, Manifest, Part, publish
 from rategauge.plans.scratch import stored
-from rategauge.roles import LISTING
-from rategauge.schemas import AUDIT_TABLE, AVERAGE_TABLE, CLASSIFIED_TABLE, RANKED_TABLE
-from rategauge.sinks.files import writing
-from rategauge.sinks.months import overwrite_months, overwrite_partition
+from rategauge.plans.store import ACCEPTED, MERGE, OUTCOME, REJECTED, RUN, RUN_MONTH, Store
+from rategauge.roles import LISTING, Roles
+from rategauge.schemas import AUDIT_TABLE, average_table, classified_table, extremes_table, ranked_table, states_table
+from rategauge.sinks.files import write_parquet
 from rategauge.sources.guards import require_rows
 from rategauge.sources.listings import month_file, read_listings
-from rategauge.sources.tables import (
-    ACCEPTED,
-    OUTCOME,
-    REJECTED,
-    RUN_MONTH,
-    SIDE,
-    read_average_table,
-    read_classified,
-)
+from rategauge.sources.tables import SIDE
 
 SUCCESS = "SUCCESS"
 FAILED = "FAILED"
@@ -40,7 +44,9 @@ FAILED = "FAILED"
 class MonthlyRun:
     """One run: what it reads, where it writes, how it is labelled.
 
-    Lists hold ``top_k`` records per data month and group.
+    Lists hold ``top_k`` records per data month and group.  ``roles`` are kept with
+    the tables; a root takes runs of one mapping only.  A run that is repeated with
+    the ``token`` of one that was published changes nothing and counts once.
     """
 
     month: str
@@ -49,142 +55,226 @@ class MonthlyRun:
     run_name: str
     run_type: str = "scheduled"
     top_k: int = 10
-    multi_line: bool = True
+    multi_line: bool | None = None
     started: datetime | None = None
+    roles: Roles = LISTING
+    token: str | None = None
 
-    @property
-    def layout(self) -> Layout:
-        return Layout(self.root)
 
+@dataclass(frozen=True)
+class _Job:
+    """A run under way: its files by run month, and how a row tells its run month."""
 
-def append_audit(
-    spark: SparkSession,
-    run: MonthlyRun,
-    status: str,
-    message: str,
-    counts: DataFrame | None = None,
-) -> None:
-    """Append audit rows for a run: one per source file and data month.
-
-    A failed run has no counts and leaves one row with its message.
-    """
+    id: str
+    run: MonthlyRun
+    files: dict[str, str]
+    run_month: Column
+
+    def folder(self, store: Store, table: str) -> str:
+        return store.path(table, f"{RUN}={self.id}")
+
+    def tracked(self, df: DataFrame, source: str | Column) -> DataFrame:
+        return add_tracking(df, source, self.run.run_name, self.run.run_type, self.run.started)
+
+
+def _check_roles(manifest: Manifest, roles: Roles) -> None:
+    if manifest.roles not in (None, roles):
+        raise ValueError(f"the tables were made with {manifest.roles}, not with {roles}")
+
+
+# -- a run's own folder -----------------------------------------------------------
+
+
+def _store_classified(store: Store, job: _Job) -> DataFrame:
+    """The only pass over the raw files.  Files are sorted by month, which costs no shuffle."""
+    roles, paths = job.run.roles, list(job.files.values())
+    read = read_listings(store.spark, paths, multi_line=job.run.multi_line)
+    require_rows(read, ", ".join(paths))
+    raw = read.select(
+        *(F.col(name).cast("string").alias(name) for name in roles.columns),
+        file_name_column().alias("source_file"),
+        job.run_month.alias(RUN_MONTH),
+    )
+    schema = classified_table(roles)
+    rows = job.tracked(classify(raw, roles), F.col("source_file"))
+    outcome = F.when(F.col("reject_reason").isNull(), ACCEPTED).otherwise(REJECTED)
+    rows = rows.select(*schema.names, RUN_MONTH, outcome.alias(OUTCOME))
+    rows = rows.sortWithinPartitions(RUN_MONTH, OUTCOME, "year_month")
+    write_parquet(rows, job.folder(store, "classified"), [RUN_MONTH, OUTCOME])
+    records = store.read("classified", schema, [f"{RUN}={job.id}"], RUN, RUN_MONTH, OUTCOME)
+    filled = {row[0] for row in records.select(RUN_MONTH).distinct().collect()}
+    for month, path in job.files.items():
+        if month not in filled:
+            raise ValueError(f"no data found in {path}: check the path and the filters")
+    return records
+
+
+def _store_audit(store: Store, job: _Job, status: str, message: str, counts: DataFrame) -> None:
+    """Audit rows of a run, in its own folder: a retry replaces them, the manifest counts them once."""
+    path_of = F.create_map(*(F.lit(x) for pair in job.files.items() for x in pair))
     label = {
-        "final_log_file_name": F.lit(run.run_name),
-        "timestamp": F.lit(run.started).cast("timestamp"),
-        "month": F.lit(run.month),
-        "run_type": F.lit(run.run_type),
-        "file_path": F.lit(run.path),
+        "final_log_file_name": F.lit(job.run.run_name),
+        "timestamp": F.lit(job.run.started).cast("timestamp"),
+        "month": F.col(RUN_MONTH),
+        "run_type": F.lit(job.run.run_type),
+        "file_path": path_of[F.col(RUN_MONTH)],
         "status": F.lit(status),
         "message": F.lit(message),
     }
-    rows = (spark.range(1).select() if counts is None else counts).withColumns(label)
+    rows = counts.withColumns(label)
     known = set(rows.columns)
     shaped = rows.select(
-        *(
-            (F.col(f.name) if f.name in known else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in AUDIT_TABLE
-        )
+        *((F.col(f.name) if f.name in known else F.lit(None)).cast(f.dataType).alias(f.name) for f in AUDIT_TABLE)
     )
-    with writing(run.layout.audit, "Parquet"):
-        shaped.write.mode("append").parquet(run.layout.audit)
+    write_parquet(shaped.coalesce(1), job.folder(store, "run_audit"))
 
 
-def _tracked(df: DataFrame, run: MonthlyRun, source: str | Column) -> DataFrame:
-    return add_tracking(df, source, run.run_name, run.run_type, run.started)
+def _store_run(store: Store, job: _Job) -> dict[str, Part]:
+    """Records, sums, extremes and audit of a run; none of it visible yet."""
+    roles = job.run.roles
+    records = _store_classified(store, job)
+    keys = [RUN_MONTH, "year_month", roles.group]
+    clean = records.filter(F.col(OUTCOME) == ACCEPTED)
+    clean = clean.select(RUN_MONTH, *roles.columns, "price_num", "year_month", "source_file")
+    sums = clean.groupBy(*keys).agg(F.count("*").alias("listing_count"), exact_total(F.col("price_num")).alias("cents"))
+    write_parquet(sums.select(*states_table(roles).names), job.folder(store, "states"))
+    extremes = extreme_prices(clean, job.run.top_k, keys, roles)
+    write_parquet(extremes.select(*extremes_table(roles).names), job.folder(store, "extremes"))
+    counts = quality_totals(records, [RUN_MONTH, "source_file", "year_month"])
+    _store_audit(store, job, SUCCESS, "completed", counts)
 
+    states = store.read("states", states_table(roles), [f"{RUN}={job.id}"])
+    held: dict[str, list[str]] = {month: [] for month in job.files}
+    for run_month, month in states.select(RUN_MONTH, "year_month").distinct().collect():
+        held[run_month].append(month)
+    return {run_month: Part(job.id, tuple(sorted(months))) for run_month, months in held.items()}
 
-def _store_classified(spark: SparkSession, run: MonthlyRun) -> None:
-    """The only pass over the raw file: verdicts, tracking columns, both outcomes."""
-    read = read_listings(spark, run.path, multi_line=run.multi_line)
-    require_rows(read, run.path)
-    raw = read.select(
-        *(F.col(name).cast("string").alias(name) for name in LISTING.columns),
-        file_name_column().alias("source_file"),
-    )
-    verdicts = _tracked(classify(raw), run, F.col("source_file"))
-    outcome = F.when(F.col("reject_reason").isNull(), ACCEPTED).otherwise(REJECTED)
-    overwrite_partition(
-        verdicts.select(*CLASSIFIED_TABLE.names, outcome.alias(OUTCOME)),
-        run.layout.classified,
-        RUN_MONTH,
-        run.month,
-        partition_by=[OUTCOME],
+
+# -- the months it touches --------------------------------------------------------
+
+
+def merged_averages(store: Store, months: set[str]) -> DataFrame:
+    """Averages of the months from the sums of all live runs; no record is read."""
+    keys = ["year_month", store.roles.group]
+    total = store.states(months).groupBy(*keys).agg(
+        exact_sum(F.col("listing_count")).alias("listing_count"), exact_sum(F.col("cents")).alias("cents")
     )
+    return total.select(*keys, "listing_count", mean_of(F.col("cents"), F.col("listing_count")).alias("avg_price"))
 
 
-def _data_months(spark: SparkSession, run: MonthlyRun) -> set[str]:
-    """Months of the run's accepted records; a file holds few."""
-    try:
-        accepted = read_classified(spark, run.layout.classified, ACCEPTED, run.month)
-    except FileNotFoundError:
-        return set()
-    return {row[0] for row in accepted.select("year_month").distinct().collect()}
+def merged_top_lists(store: Store, averages: DataFrame, months: set[str], k: int) -> DataFrame:
+    """Both sides' lists from the extremes of all live runs.
+
+    Records are read only of groups whose extremes do not settle their list.
+    """
+    roles = store.roles
+    keys = ["year_month", roles.group]
+    extremes = join_deviations(store.extremes(months), averages, roles)
+    lists, short = merged_lists(stored(extremes, "extremes"), k, keys, roles)
+    lists, short = lists.drop(RUN_MONTH), stored(short, "short")
+    if short.isEmpty():
+        return lists
+    records = records_of(store, short, months)
+    sides = zip((OVER, UNDER), top_over_under(join_deviations(records, averages, roles), k, roles, partition_by=keys))
+    lists = lists.join(short, keys, "left_anti")
+    for side, top in sides:
+        lists = lists.unionByName(top.withColumn(SIDE, F.lit(side)))
+    return lists
+
+
+def records_of(store: Store, groups: DataFrame, months: set[str]) -> DataFrame:
+    """Accepted records of the named months and groups of all live runs."""
+    roles = store.roles
+    records = store.classified(ACCEPTED, months=months)
+    records = records.select(*roles.columns, "price_num", "year_month", "source_file")
+    return records.join(groups.select("year_month", roles.group), ["year_month", roles.group], "left_semi")
 
 
-def _store_averages(clean: DataFrame, run: MonthlyRun, months: list[str]) -> None:
-    averages = _tracked(average_prices(clean), run, run.path)
-    overwrite_months(
-        stored(averages.select(*AVERAGE_TABLE.names), "averages"), run.layout.averages, months
+def _merge(store: Store, job: _Job, parts: dict[str, Part]) -> Manifest:
+    """Write averages and lists of all months that ``parts`` add to or take from; what to publish."""
+    base, roles, k = store.manifest, job.run.roles, job.run.top_k
+    live = base.parts | parts
+    gone = {m for run_month in parts if run_month in base.parts for m in base.parts[run_month].months}
+    touched = gone | {m for part in parts.values() for m in part.months}
+    months = touched & {m for part in live.values() for m in part.months}
+    name = f"{job.id}-{base.version + 1}"
+    manifest = replace(
+        base,
+        version=base.version + 1,
+        roles=roles,
+        parts=live,
+        merged={m: r for m, r in base.merged.items() if m not in touched} | dict.fromkeys(months, name),
+        top_k={m: n for m, n in base.top_k.items() if m not in touched} | dict.fromkeys(months, k),
+        audits=(*base.audits, job.id),
     )
+    after = store.at(manifest)
+    if months:
+        averages = job.tracked(merged_averages(after, months), job.run.path)
+        averages = averages.select(*average_table(roles).names).hint("rebalance", F.col("year_month"))
+        write_parquet(averages, store.path("avg_price", f"{MERGE}={name}"), ["year_month"])
+        held = after.averages().filter(F.col("year_month").isin(sorted(months)))
+        held = held.select("year_month", roles.group, "listing_count", "avg_price")
+        lists = job.tracked(merged_top_lists(after, held, months, k), F.col("source_file"))
+        lists = lists.select(*ranked_table(roles).names, SIDE).hint("rebalance", F.col("year_month"))
+        write_parquet(lists, store.path("top_priced", f"{MERGE}={name}"), ["year_month"])
+    return manifest
 
 
-def _store_top_priced(
-    clean: DataFrame, averages: DataFrame, run: MonthlyRun, months: list[str]
-) -> None:
-    """Each listed record keeps the file name it came with."""
-    keys = ["year_month", LISTING.group]
-    tops = top_over_under(join_deviations(clean, averages), run.top_k, partition_by=keys)
-    for side, top in zip((OVER, UNDER), tops):
-        tracked = _tracked(top, run, F.col("source_file")).select(*RANKED_TABLE.names)
-        of_side = f"{run.layout.top_priced}/{SIDE}={side}"
-        overwrite_months(stored(tracked, "tops"), of_side, months)
-    held = F.explode(F.array(*(F.lit(month) for month in months))).alias("year_month")
-    sizes = clean.sparkSession.range(1).select(held, F.lit(run.top_k).alias("top_k"))
-    overwrite_months(sizes, run.layout.list_sizes, months)
+def _publish(store: Store, job: _Job, parts: dict[str, Part]) -> Store:
+    """Merge and publish; where another run came first, merge again with it."""
+    while True:
+        store = Store.open(store.spark, store.root)
+        if job.id in store.manifest.audits:
+            return store
+        _check_roles(store.manifest, job.run.roles)
+        manifest = _merge(store, job, parts)
+        try:
+            publish(store.spark, store.root, manifest)
+        except BaseMoved:
+            continue
+        return store.at(manifest)
 
 
-def _audit_failure(spark: SparkSession, run: MonthlyRun, error: Exception) -> None:
+def _publish_failure(store: Store, job: _Job, error: Exception) -> None:
     """Record a failure without hiding it behind one of the audit's own."""
     try:
-        append_audit(spark, run, FAILED, f"{type(error).__name__}: {error}")
+        failed = replace(job, id=f"failed-{uuid.uuid4().hex}")
+        months = store.spark.createDataFrame([(m,) for m in job.files], f"{RUN_MONTH} string")
+        _store_audit(store, failed, FAILED, f"{type(error).__name__}: {error}", months)
+        while True:
+            base = Store.open(store.spark, store.root).manifest
+            try:
+                audits = (*base.audits, failed.id)
+                publish(store.spark, store.root, replace(base, version=base.version + 1, audits=audits))
+                return
+            except BaseMoved:
+                continue
     except Exception as audit_error:
         error.add_note(f"the audit row could not be written: {audit_error}")
 
 
-def run_month(spark: SparkSession, run: MonthlyRun) -> Layout:
-    """Read, classify, average, rank and store one month; rerunning replaces it.
-
-    The raw file is read once.  Every later step reads the classified table,
-    which is columnar, split by outcome, and outlives lost executors.  Averages
-    and lists belong to the month of the data: those of every month this run
-    touches, now or before, are taken anew from the records of all runs.  An audit
-    row is appended whether the run succeeds or fails.
-    """
-    if run.started is None:
-        run = replace(run, started=datetime.now(timezone.utc))
-    layout = run.layout
+def _run(spark: SparkSession, run: MonthlyRun, files: dict[str, str], run_month: Column) -> Store:
+    store = Store(spark, run.root.rstrip("/"), Manifest())
+    job = _Job(run.token or uuid.uuid4().hex, replace(run, started=run.started or datetime.now(timezone.utc)), files, run_month)
     try:
-        before = _data_months(spark, run)
-        _store_classified(spark, run)
-        months = sorted(before | _data_months(spark, run)) or [run.month]
-        touched = F.col("year_month").isin(months)
-        clean = read_classified(spark, layout.classified, ACCEPTED).filter(touched).select(
-            *LISTING.columns, "price_num", "year_month", "source_file"
-        )
-        _store_averages(clean, run, months)
-        averages = read_average_table(spark, layout.averages).filter(touched).select(
-            "year_month", LISTING.group, "listing_count", "avg_price"
-        )
-        _store_top_priced(clean, averages, run, months)
-        counts = quality_totals(
-            read_classified(spark, layout.classified, run_month=run.month),
-            ["source_file", "year_month"],
-        )
-        append_audit(spark, run, SUCCESS, "completed", counts)
+        store = Store.open(spark, run.root)
+        if job.id in store.manifest.audits:
+            return store
+        _check_roles(store.manifest, run.roles)
+        parts = _store_run(store.at(replace(store.manifest, roles=run.roles)), job)
+        return _publish(store, job, parts)
     except Exception as error:
-        _audit_failure(spark, run, error)
+        _publish_failure(store, job, error)
         raise
-    return layout
+
+
+def run_month(spark: SparkSession, run: MonthlyRun) -> Store:
+    """Read, classify, average, rank and publish one month; rerunning replaces it.
+
+    Averages and lists belong to the month of the data, whatever files it came
+    from.  An audit row is published whether the run succeeds or fails.
+    """
+    return _run(spark, run, {run.month: run.path}, F.lit(run.month))
 
 
 def run_months(
@@ -197,22 +287,15 @@ def run_months(
     name: str = "listings",
     extension: str = "csv",
     **options,
-) -> Layout:
-    """Backfill: one run per month, each replacing only its own partitions.
+) -> Store:
+    """Backfill: all months in one pass and one publication, each replacing its own records.
 
-    ``name`` and ``extension`` are those of the input files; ``options`` are further :class:`MonthlyRun` fields.  A month that fails ends
-    the backfill; the months before it stay, and it can simply be run again.
+    ``name`` and ``extension`` are those of the input files, whose names tell the run
+    month of each row; ``options`` are further :class:`MonthlyRun` fields.  The number
+    of Spark jobs does not depend on the number of months.  If one file is missing or
+    empty nothing is published, and the backfill can simply be run again.
     """
-    for month in months:
-        run_month(
-            spark,
-            MonthlyRun(
-                month=month,
-                path=month_file(input_path, month, name, extension),
-                root=root,
-                run_name=run_name,
-                run_type=run_type,
-                **options,
-            ),
-        )
-    return Layout(root)
+    files = {month: month_file(input_path, month, name, extension) for month in months}
+    pattern = rf"/{re.escape(name)}_([^/]*)\.{re.escape(extension)}(?:/|$)"
+    run = MonthlyRun(", ".join(files), input_path, root, run_name, run_type, **options)
+    return _run(spark, run, files, F.regexp_extract(F.col("_metadata.file_path"), pattern, 1))

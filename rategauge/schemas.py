@@ -12,7 +12,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-from rategauge.roles import LISTING
+from rategauge.roles import LISTING, Roles
 
 MONEY = DecimalType(10, 2)
 MONEY_DDL = "decimal(10,2)"
@@ -22,8 +22,12 @@ def _schema(*fields: tuple[str, object]) -> StructType:
     return StructType([StructField(name, dtype, True) for name, dtype in fields])
 
 
-#: Raw listing records.  Text throughout: parsing is the cleaning step's job.
-RAW_LISTING = _schema(*((name, StringType()) for name in LISTING.columns))
+def raw_table(roles: Roles = LISTING) -> StructType:
+    """Raw records.  Text throughout: parsing is the cleaning step's job."""
+    return _schema(*((name, StringType()) for name in roles.columns))
+
+
+RAW_LISTING = raw_table()
 
 TRACKING_COLUMNS = (
     "processing_timestamp",
@@ -38,48 +42,75 @@ def _tracking(timestamp_type) -> list[tuple[str, object]]:
     return [(first, timestamp_type), *((name, StringType()) for name in rest)]
 
 
-def _average(timestamp_type, count_type) -> StructType:
+def average_table(roles: Roles = LISTING, timestamp=TimestampType(), count=LongType()) -> StructType:
+    """Averages as stored: processing time typed, room for counts beyond 2^31."""
     return _schema(
         ("year_month", StringType()),
-        ("neighbourhood_cleansed", StringType()),
-        ("listing_count", count_type),
+        (roles.group, StringType()),
+        ("listing_count", count),
         ("avg_price", MONEY),
-        *_tracking(timestamp_type),
+        *_tracking(timestamp),
     )
 
 
-def _ranked(timestamp_type, count_type) -> StructType:
+def ranked_table(roles: Roles = LISTING, timestamp=TimestampType(), count=LongType()) -> StructType:
+    """Top lists as stored."""
     return _schema(
         ("year_month", StringType()),
-        ("neighbourhood_cleansed", StringType()),
-        ("id", StringType()),
-        ("price", StringType()),
-        ("last_scraped", StringType()),
+        (roles.group, StringType()),
+        *((name, StringType()) for name in (*roles.ids, roles.price, roles.date)),
         ("price_num", MONEY),
-        ("listing_count", count_type),
+        ("listing_count", count),
         ("avg_price", MONEY),
         ("price_diff", MONEY),
         ("pct_diff", MONEY),
-        *_tracking(timestamp_type),
+        *_tracking(timestamp),
     )
 
 
-#: Exchange format (CSV): processing time as text, counts as int.
-AVERAGE_CSV = _average(StringType(), IntegerType())
-RANKED_CSV = _ranked(StringType(), IntegerType())
+def classified_table(roles: Roles = LISTING) -> StructType:
+    """Classified records as stored by a run, without the columns that part folders."""
+    return _schema(
+        *((name, StringType()) for name in roles.columns),
+        ("price_num", MONEY),
+        ("year_month", StringType()),
+        ("reject_reason", StringType()),
+        *_tracking(TimestampType()),
+    )
 
-#: Parquet tables: processing time typed, and room for counts beyond 2^31.
-AVERAGE_TABLE = _average(TimestampType(), LongType())
-RANKED_TABLE = _ranked(TimestampType(), LongType())
 
-#: Classified records as stored by a monthly run (before partition columns).
-CLASSIFIED_TABLE = _schema(
-    *((name, StringType()) for name in LISTING.columns),
-    ("price_num", MONEY),
-    ("year_month", StringType()),
-    ("reject_reason", StringType()),
-    *_tracking(TimestampType()),
-)
+def states_table(roles: Roles = LISTING) -> StructType:
+    """What a run adds to an average: mergeable by addition."""
+    return _schema(
+        ("run_month", StringType()),
+        ("year_month", StringType()),
+        (roles.group, StringType()),
+        ("listing_count", LongType()),
+        ("cents", LongType()),
+    )
+
+
+def extremes_table(roles: Roles = LISTING) -> StructType:
+    """A run's dearest and cheapest records per month and group, and the first one left out."""
+    return _schema(
+        ("run_month", StringType()),
+        ("side", StringType()),
+        ("place", IntegerType()),
+        ("kept", IntegerType()),
+        *((name, StringType()) for name in roles.columns),
+        ("price_num", MONEY),
+        ("year_month", StringType()),
+        ("source_file", StringType()),
+    )
+
+
+#: Exchange format (CSV): processing time as text, counts as int.
+AVERAGE_CSV = average_table(LISTING, StringType(), IntegerType())
+RANKED_CSV = ranked_table(LISTING, StringType(), IntegerType())
+
+#: Parquet tables of listings.
+AVERAGE_TABLE = average_table()
+RANKED_TABLE = ranked_table()
 
 #: Reject reasons; a record failing several tests gets the first in this order.
 REJECT_REASONS = (
@@ -108,6 +139,3 @@ AUDIT_TABLE = _schema(
     ("rows_rejected", LongType()),
     *((reason, LongType()) for reason in REJECT_REASONS),
 )
-
-#: Records per group that the lists of a month hold.
-LIST_SIZES = _schema(("year_month", StringType()), ("top_k", IntegerType()))

@@ -4,7 +4,6 @@ from rategauge.sources.guards import require_rows
 from rategauge.sources.listings import month_file, read_listings
 from rategauge.sources.tables import (
     read_average_table,
-    read_classified,
     read_over_under_tables,
     read_ranked_table,
     read_table,
@@ -13,7 +12,6 @@ from rategauge.sources.tables import (
 __all__ = [
     "month_file",
     "read_average_table",
-    "read_classified",
     "read_listings",
     "read_over_under_tables",
     "read_ranked_table",

@@ -9,19 +9,13 @@ from rategauge.operators.rank import OVER, UNDER, check_side
 from rategauge.schemas import (
     AVERAGE_CSV,
     AVERAGE_TABLE,
-    CLASSIFIED_TABLE,
-    LIST_SIZES,
     RANKED_CSV,
     RANKED_TABLE,
 )
 from rategauge.sources.csv_options import read_options
 from rategauge.sources.guards import reading
 
-RUN_MONTH = "run_month"
-OUTCOME = "outcome"
 SIDE = "side"
-ACCEPTED = "accepted"
-REJECTED = "rejected"
 
 
 def _with_partitions(schema: StructType, *names: str) -> StructType:
@@ -49,10 +43,6 @@ def read_table(
     raise ValueError(f"unknown table format {fmt!r}")
 
 
-def _of_run(df: DataFrame, run_month: str | None) -> DataFrame:
-    return df.filter(F.col(RUN_MONTH) == run_month) if run_month else df
-
-
 def _of_month(df: DataFrame, month: str | None) -> DataFrame:
     return df.filter(F.col("year_month") == month) if month else df
 
@@ -100,19 +90,3 @@ def read_over_under_tables(
         read_ranked_table(spark, over_path, OVER, fmt, multi_line=multi_line),
         read_ranked_table(spark, under_path or over_path, UNDER, fmt, multi_line=multi_line),
     )
-
-
-def read_list_sizes(spark: SparkSession, path: str, month: str | None = None) -> DataFrame:
-    """``(year_month, top_k)``: what the stored lists of each month hold."""
-    return _of_month(read_table(spark, path, LIST_SIZES), month).select(*LIST_SIZES.names)
-
-
-def read_classified(
-    spark: SparkSession, path: str, outcome: str | None = None, run_month: str | None = None
-) -> DataFrame:
-    """Classified records; ``outcome`` and ``run_month`` prune directories."""
-    schema = _with_partitions(CLASSIFIED_TABLE, RUN_MONTH, OUTCOME)
-    table = _of_run(read_table(spark, path, schema), run_month)
-    if outcome is not None:
-        table = table.filter(F.col(OUTCOME) == outcome)
-    return table.select(*CLASSIFIED_TABLE.names)
