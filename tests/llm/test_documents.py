@@ -209,7 +209,7 @@ def test_added_spans_hold_out():
     examples = pii.made_examples(120, seed=99)
     right = wrong = missed = 0
     for text, span, label in examples:
-        chosen = span in DETECTOR.added(text, [])
+        chosen = span.span in DETECTOR.added(text, [])
         right += chosen and label
         wrong += chosen and not label
         missed += label and not chosen
@@ -284,3 +284,40 @@ def test_closed_syncmers_by_definition():
     want = [p for p in range(len(text) - k + 1)
             if min(value[q] for q in range(p, p + k - s + 1)) in (value[p], value[p + k - s])]
     assert at.tolist() == want and len(h) == len(want)
+
+
+@pytest.mark.parametrize(
+    "text, want",
+    [
+        ("12 4111 1111 1111 1111", [("card", "4111 1111 1111 1111")]),
+        ("2024-05-01 4111 1111 1111 1111", [("card", "4111 1111 1111 1111")]),
+        ("visa: 4111 1111 1111 1111 12/27 cvv 123", [("card", "4111 1111 1111 1111")]),
+        ("call 555-123-4567 2024-05-01 10:00", [("phone", "555-123-4567")]),
+        ("key: " + "aB3x" * 61, [("secret", "aB3x" * 61)]),
+        ("On 2024-01-02 we sold 1,200 units for 12.50 and 300 400 500", []),
+        ("isbn 978-3-16-148410-0 page 12", []),
+    ],
+)
+def test_numbers_next_to_others_and_whole_secrets(text, want):
+    assert [(k, text[s:e]) for k, s, e in DETECTOR.added(text, pii.base_spans(text))] == want
+
+
+def test_candidates_are_all_parts_of_whole_groups():
+    found = {(c.kind, "12 345-6789 (0123) 4567890"[c.start : c.end]) for c in pii.candidates("12 345-6789 (0123) 4567890")}
+    assert ("phone", "345-6789") in found and ("phone", "(0123) 4567890") in found and ("card", "12 345-6789 (0123") in found
+    assert ("phone", "4567890") in found and ("card", "345-6789 (0123) 4567890") in found
+    assert not any(t.startswith(("2", "5", "7")) for _, t in found)
+
+
+def test_added_spans_of_long_texts_in_linear_time():
+    import time
+
+    numbers = " ".join(str(7919 * k % 1_000_003) for k in range(60_000))
+    took = []
+    for text in (numbers[: len(numbers) // 4], numbers):
+        start = time.process_time()
+        out = DETECTOR.added(text, pii.base_spans(text))
+        took.append(time.process_time() - start)
+        ends = sorted((s, e) for _, s, e in out)
+        assert all(a[1] <= b[0] for a, b in zip(ends, ends[1:]))
+    assert took[1] < 12 * took[0] + 1
