@@ -7,16 +7,23 @@ share an anchor place are a segment, at most ``width - k + 1`` of them, and a se
 the text they cover. So one row per segment stands for about a hundredth of the positions (bytes):
 
 - a context that occurs twice: all windows of its segments are repeated;
-- else, if other contexts have the same anchor hash, its windows are laid out one by one, once per
-  distinct context, and those whose hash occurs twice are repeated.
-
-Hashes are of 64 bits. Segments are counted per task before the shuffle; a hot anchor is one row per
-context afterwards, and the joins have one row per key on one side.
+- else, if other contexts have the same anchor hash, one segment of each distinct context is compared
+  with the others of its anchor. The anchor is the prefix by which suffixes are dealt to groups: a task
+  takes whole groups, a bounded number of tokens at a time, sorts the windows of their contexts and looks
+  how far neighbours agree. A window that agrees with a neighbour over its whole width lies below an
+  internal node at least that deep and is repeated.
+- an anchor with more than ``GROUP`` contexts is no group of a task's size. Its prefix is lengthened to
+  the whole window, so that each group is one node, and its leaves are counted.
+
+Hashes are of 64 bits; within a group windows are compared by content. Segments are counted per task
+before the shuffle; a hot anchor is one row per context afterwards, and the joins have one row per key
+on one side. What leaves a group are runs of places.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -27,6 +34,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from rategauge.llm.arrays import BYTE, hashed_words, pieces, signed, utf8, word_bounds
 from rategauge.plans.scratch import stored
 
+#: Contexts of one anchor that a task compares, and tokens that it compares at a time.
+GROUP, TOKENS = 4096, 1 << 20
+
 _A, _B = np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xFF51AFD7ED558CCD)
 KEY = ("id", "th")
 
@@ -71,10 +81,11 @@ def leftmost_least(hashes: np.ndarray, span: int) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Tokens:
-    """What a window is made of."""
+    """What a window is made of; ``kind`` is how a token is kept where windows are compared."""
 
     width: int
     k: int
+    kind: type
     values: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
     strings: Callable[[str], list[bytes] | bytes]
     glue: bytes
@@ -82,6 +93,30 @@ class Tokens:
     digest: Callable[[Column], Column]
 
 
+def repeated(values: np.ndarray, hashes: np.ndarray, starts: np.ndarray, width: int) -> np.ndarray:
+    """Which of the windows at ``starts`` equal another one.
+
+    Windows are put in the order of their hashes, so equal ones are neighbours; neighbours of one hash
+    are compared token by token. Should two different windows share a hash, those of that hash are
+    sorted by their tokens.
+    """
+    out = np.zeros(len(starts), bool)
+    keys = hashes[starts]
+    order = np.argsort(keys, kind="stable")
+    same = np.flatnonzero(keys[order[1:]] == keys[order[:-1]])
+    left, right = starts[order[same]], starts[order[same + 1]]
+    agree = np.ones(len(same), bool)
+    for k in range(width):
+        agree &= values[left + k] == values[right + k]
+    out[order[same[agree]]] = out[order[same[agree] + 1]] = True
+    for key in np.unique(keys[order[same[~agree]]]):
+        mine = np.flatnonzero(keys == key)
+        whole = [values[s : s + width].tobytes() for s in starts[mine]]
+        count = Counter(whole)
+        out[mine] = [count[w] > 1 for w in whole]
+    return out
+
+
 def byte_values(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     raw, at = utf8(column)
     return BYTE[raw], at
@@ -146,49 +181,110 @@ def _place() -> Column:
     return F.xxhash64("id", "th", "s")
 
 
+def _compared(laid: DataFrame, tokens: Tokens) -> DataFrame:
+    """``(id, th, first, last)``: runs of repeated windows, from contexts dealt by anchor."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole_groups(batches, TOKENS * np.dtype(tokens.kind).itemsize):
+            blobs = table.column("context").to_pylist()
+            values = np.frombuffer(b"".join(blobs), tokens.kind)
+            sizes = np.array([len(b) for b in blobs]) // values.itemsize
+            begin = np.cumsum(sizes) - sizes
+            counts = sizes - tokens.width + 1
+            wide = values if tokens.kind is np.uint64 else BYTE[values]
+            _, hashes = window_hashes(wide, tokens.k, tokens.width)
+            row = np.repeat(np.arange(len(sizes)), counts)
+            step = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+            hit = repeated(values, hashes, begin[row] + step, tokens.width)
+            edge = np.flatnonzero(hit)
+            if not len(edge):
+                continue
+            cut = (np.diff(edge) > 1) | (np.diff(row[edge]) > 0)
+            first, last = edge[np.concatenate([[True], cut])], edge[np.concatenate([cut, [True]])]
+            place = table.column("s").to_numpy()[row[first]]
+            take = pa.array(row[first])
+            columns = [table.column(c).combine_chunks().take(take) for c in KEY]
+            yield pa.record_batch([*columns, pa.array(place + step[first]), pa.array(place + step[last])], names=[*KEY, "first", "last"])
+
+    dealt = laid.repartition("h").sortWithinPartitions("h")
+    return dealt.mapInArrow(run, "id long, th long, first long, last long")
+
+
+def _whole_groups(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Table]:
+    """Rows of whole groups, in the order of ``h``, about ``size`` bytes of contexts at a time."""
+    held: list[pa.RecordBatch] = []
+    weight, last = 0, None
+    for batch in batches:
+        h = batch.column("h").to_numpy()
+        if not len(h):
+            continue
+        weights = np.cumsum([0, *map(len, batch.column("context").to_pylist())])
+        start = 0
+        for cut in [*(np.flatnonzero(h[1:] != h[:-1]) + 1).tolist(), len(h)]:
+            if h[start] != last and weight + weights[start] >= size and held:
+                yield pa.Table.from_batches(held)
+                held, weight = [], -int(weights[start])
+            held.append(batch.slice(start, cut - start))
+            last, start = h[start], cut
+        weight += int(weights[-1])
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def removed(source: DataFrame, rows: DataFrame, groups: DataFrame, tokens: Tokens) -> DataFrame:
     """``(id, th, n, n_removed, n_spans, kept_sha256)`` of every distinct key of ``source``."""
     contexts = groups.groupBy("h").agg(F.count("*").alias("k"), F.max("n").alias("most")).where("k > 1 OR most > 1")
     status = groups.join(contexts.select("h", "k"), "h").where("k > 1 OR n > 1")
-    status = stored(status.select("h", "c", (F.col("n") > 1).alias("dup"), (F.col("k") > 1).alias("open"), "rep"), "status")
-    marks = rows.join(status, ["h", "c"]).select(
-        "id",
-        "th",
-        F.struct(
-            "s",
-            "e",
-            "dup",
-            (F.col("open") & (_place() == F.col("rep"))).alias("lay"),
-        ).alias("m"),
-    )
+    more = F.col("k") > 1, F.col("k") > GROUP
+    status = status.select("h", "c", (F.col("n") > 1).alias("dup"), *(x.alias(y) for x, y in zip(more, ("open", "wide"))), "rep")
+    status = stored(status, "status")
+    lay = F.col("open") & (_place() == F.col("rep"))
+    mark = F.struct("s", "e", "dup", lay.alias("lay"), (lay & F.col("wide")).alias("wide"), F.when(lay, F.col("h")).alias("h"))
+    marks = rows.join(status, ["h", "c"]).select(*KEY, mark.alias("m"))
     per_doc = marks.where("m.dup OR m.lay").groupBy(*KEY).agg(F.collect_list("m").alias("marks"))
     per_doc = stored(per_doc, "marks")
     marked = stored(source.join(per_doc, list(KEY)), "marked")
 
     def laid(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """One context for each segment: all tokens that its windows cover."""
         for batch in pieces(batches):
             values, at = tokens.values(batch.column("text"))
-            _, windows = window_hashes(values, tokens.k, tokens.width)
-            which, places = [], []
+            if tokens.kind is not np.uint64:
+                values, at = utf8(batch.column("text"))
+            which, starts, found, anchors = [], [], [], []
             for r, ranges in enumerate(batch.column("starts").to_pylist()):
                 for m in ranges:
-                    which.append(np.full(m["e"] - m["s"] + 1, r))
-                    places.append(np.arange(m["s"], m["e"] + 1))
-            if not which:
-                continue
-            which, places = np.concatenate(which), np.concatenate(places)
-            g, take = windows[at[which] + places], pa.array(which)
-            yield pa.record_batch(
-                [pa.array(signed(g)), batch.column("id").take(take), batch.column("th").take(take), pa.array(places)],
-                names=["g", "id", "th", "pos"],
-            )
-
-    ranges = F.filter("marks", lambda m: m["lay"])
-    opened = marked.withColumn("starts", ranges).where("size(starts) > 0").dropDuplicates(list(KEY))
-    out = opened.select("id", "th", "text", "starts").mapInArrow(laid, "g long, id long, th long, pos long")
-    twice = out.groupBy("g").count().where("count > 1").select("g")
-    hits = out.join(twice, "g").groupBy(*KEY).agg(F.collect_list("pos").alias("hits"))
-    hits = stored(hits, "hits")  # the windows themselves are made twice rather than kept
+                    which.append(r)
+                    starts.append(m["s"])
+                    anchors.append(m["h"])
+                    found.append(values[at[r] + m["s"] : at[r] + m["e"] + tokens.width].tobytes())
+            take = pa.array(which, pa.int64())
+            columns = [pa.array(anchors, pa.int64()), batch.column("id").take(take), batch.column("th").take(take)]
+            yield pa.record_batch([*columns, pa.array(starts, pa.int64()), pa.array(found, pa.binary())], names=["h", "id", "th", "s", "context"])
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """One row for each window of the segments, with its hash as the longer prefix."""
+        for batch in pieces(batches):
+            values, at = tokens.values(batch.column("text"))
+            _, hashes = window_hashes(values, tokens.k, tokens.width)
+            for r, ranges in enumerate(batch.column("starts").to_pylist()):
+                for m in ranges:
+                    places = np.arange(m["s"], m["e"] + 1)
+                    keys = [pa.array(np.full(len(places), v, np.int64)) for v in (m["h"], batch.column("id")[r].as_py(), batch.column("th")[r].as_py())]
+                    yield pa.record_batch([*keys, pa.array(signed(hashes[at[r] + places])), pa.array(places)], names=["h", "id", "th", "g", "pos"])
+
+    def opened(wide: bool) -> DataFrame:
+        mine = F.filter("marks", lambda m: m["lay"] & (m["wide"] == wide))
+        out = marked.withColumn("starts", mine).where("size(starts) > 0")
+        return out.dropDuplicates(list(KEY)).select(*KEY, "text", "starts")
+
+    small = opened(False).mapInArrow(laid, "h long, id long, th long, s long, context binary")
+    leaves = opened(True).mapInArrow(windows, "h long, id long, th long, g long, pos long")
+    nodes = leaves.groupBy("h", "g").count().where("count > 1").select("h", "g")
+    deep = leaves.join(nodes, ["h", "g"]).select(*KEY, F.col("pos").alias("first"), F.col("pos").alias("last"))
+    runs = _compared(small, tokens).unionByName(deep)
+    hits = runs.groupBy(*KEY).agg(F.collect_list(F.struct("first", "last")).alias("hits"))
+    hits = stored(hits, "hits")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
@@ -200,9 +296,9 @@ def removed(source: DataFrame, rows: DataFrame, groups: DataFrame, tokens: Token
                 for m in dups:
                     edge[m["s"]] += 1
                     edge[m["e"] + tokens.width] -= 1
-                at = np.array(hits or [], np.int64)
-                np.add.at(edge, at, 1)
-                np.add.at(edge, at + tokens.width, -1)
+                for m in hits or []:
+                    edge[m["first"]] += 1
+                    edge[m["last"] + tokens.width] -= 1
                 out = np.cumsum(edge)[:-1] > 0
                 gone.append(int(out.sum()))
                 spans.append(int((out[1:] & ~out[:-1]).sum() + out[:1].sum()))

@@ -1,18 +1,21 @@
 """Exact dedup of repeated word windows by suffix trees over partitions of prefixes.
 
-Suffixes (those at the anchors of ``repeats``, one in about ten words) are dealt to partitions by a
+Suffixes (those at the anchors of ``repeats``, one in about ten words) are dealt to groups by a
 prefix: first that of the anchor's k words. A prefix that leads to one context only is a leaf or, if
 it occurs more than once, an edge down to a node at least a window deep, and done. Where it branches
-into several contexts, the prefix is lengthened to the whole window for these alone. So groups are
-small wherever texts differ and prefixes are as long as need be. A node as deep as a window with two
-leaves or more is a repeat; the union of such windows are the maximal ones. Nodes are digests of their
-path, so a partition needs no pointers and a subtree no single task.
+into several contexts, and these fit a task (``repeats.GROUP``), the task takes the group whole: the
+windows of its contexts are sorted, and where neighbours agree over a window or more there is an internal
+node as deep; all windows below such nodes are repeated, and their union are the maximal repeats. Where
+they do not fit, the prefix is lengthened to the whole window for these alone, so that a group is a
+node and its leaves are counted where they lie. Children are in the order of hashes, not of words, which
+leaves the nodes the same; no subtree needs pointers, and none is larger than the stated number.
 
 Defined results: as for ``suffix_levels``, with words for bytes.
 """
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from rategauge.llm import repeats
@@ -25,6 +28,7 @@ WIDTH, GRAM = 35, 18
 WORDS = repeats.Tokens(
     width=WIDTH,
     k=GRAM,
+    kind=np.uint64,
     values=hashed_words,
     strings=repeats.word_strings,
     glue=b" ",

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from rategauge.llm import minhash, mixing, pieces, pii, quality, repeats, suffix_levels, suffix_trees, syncmers
 from rategauge.llm.queries import PIECE_MODEL
+from rategauge.plans.scratch import stored
 from tests.helpers import python_free
-from tests.llm.conftest import EDGES
+from tests.llm.conftest import EDGES, prose
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 MODEL = PIECE_MODEL
@@ -125,15 +126,49 @@ def test_levels(spark, edges, batches):
 
 def test_level_ranks_and_matches(edges):
     source = repeats.keyed(edges, "doc_id", "text")
-    rows = repeats.segment_table(source, suffix_levels.BYTES)
+    rows = stored(repeats.segment_table(source, suffix_levels.BYTES), "segments")
     family = suffix_levels.Family()
     for n in range(1, 6):
         family.add(rows)
         assert sorted(family.levels) == [k for k in range(3) if n >> k & 1]
-    assert family.matches(rows).count() == repeats.counted(rows).count()
+    anchors = rows.select("h").distinct().count()
+    assert [m.count() == anchors for m in family.matched] == [False, True, True, True, True]
     assert family.groups().agg(F.sum("n")).first()[0] == 5 * rows.count()
 
 
+def test_only_what_a_scan_matched_is_compared(edges, monkeypatch):
+    """Without the scans nothing is found."""
+    whole = suffix_levels.deduplicated(edges).agg(F.sum("n_removed")).first()[0]
+    monkeypatch.setattr(suffix_levels.Family, "matches", lambda self, array: array.select("h").where("false"))
+    assert whole > 0 == suffix_levels.deduplicated(edges).agg(F.sum("n_removed")).first()[0]
+
+
+def test_only_deep_nodes_of_a_group_are_removed(spark, monkeypatch):
+    """Windows shared by different contexts: found by the comparison in groups, or by longer prefixes."""
+    docs = [(k, prose(50 + k, 40) + " " + prose(7, 60) + " " + prose(90 + k, 30)) for k in range(12)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    want = Counter()
+    for (doc_id, _), (s, gone) in zip(docs, brute_removed(docs, lambda t: tuple(WORD.findall(t)), 35)):
+        want[doc_id, len(s), sum(gone)] += 1
+    got = lambda: Counter((r.doc_id, r.n_words, r.n_removed) for r in suffix_trees.deduplicated(frame).collect())
+    assert got() == want and all(60 <= k[2] < 70 for k in want)
+    with monkeypatch.context() as patch:
+        patch.setattr(repeats, "GROUP", 2)
+        assert got() == want
+    monkeypatch.setattr(repeats, "_compared", lambda laid, tokens: laid.selectExpr("id", "th", "s AS first", "s AS last").where("false"))
+    assert sum(k[2] for k in got()) < sum(k[2] for k in want)
+
+
+def test_windows_of_one_hash_are_told_apart():
+    import numpy as np
+
+    values = np.array([1, 2, 3, 1, 2, 4, 1, 2, 3], np.uint8)
+    starts = np.array([0, 3, 6, 1])
+    one = np.zeros(9, np.uint64)
+    assert repeats.repeated(values, one, starts, 3).tolist() == [True, False, True, False]
+    assert repeats.repeated(values, np.arange(9, dtype=np.uint64), starts, 3).tolist() == [False] * 4
+
+
 def test_trees(edges):
     docs = [(r[0], r[1]) for r in EDGES]
     got = Counter((r[0], r[1], r[2], r[4]) for r in suffix_trees.deduplicated(edges).collect())
