@@ -157,7 +157,77 @@ SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 10 * all_rows // 100
 FROM c LEFT JOIN r ON c.i = r.i
 """
 
+OP1 = rf"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT r, unnest(CASE WHEN len(w) = 1 THEN [w[1]] ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS s
+  FROM d WHERE len(w) > 0),
+n AS (
+  SELECT r, count(*) AS n FROM s GROUP BY r),
+i AS (
+  SELECT a.r AS a, b.r AS b, count(*) AS shared FROM s a JOIN s b ON a.s = b.s AND a.r < b.r GROUP BY ALL),
+l AS (
+  SELECT a, b FROM i JOIN n x ON x.r = a JOIN n y ON y.r = b WHERE 100 * shared >= 80 * (x.n + y.n - shared)),
+e AS (
+  SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+c AS (
+  SELECT r, doc_id AS low FROM d
+  UNION
+  SELECT e.b, c.low FROM c JOIN e ON e.a = c.r JOIN d ON d.r = e.b WHERE c.low < d.doc_id OR d.doc_id IS NULL),
+m AS (
+  SELECT r, min(low) AS low FROM c GROUP BY r)
+SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, low AS component_id, doc_id IS NOT DISTINCT FROM low AS kept
+FROM d JOIN m ON m.r = d.r LEFT JOIN n ON n.r = d.r
+"""
+
+OP2 = """
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, hex(coalesce(text, '')) AS h FROM documents),
+p AS (
+  SELECT r, unnest(range(0, len(h) // 2)) AS j, h FROM d),
+w AS (
+  SELECT r, j, CASE WHEN 2 * (j + 400) <= len(h) THEN md5(substr(h, 2 * j + 1, 800)) END AS g, substr(h, 2 * j + 1, 2) AS b FROM p),
+m AS (
+  SELECT r, j, b, CASE WHEN g IS NOT NULL AND count(*) OVER (PARTITION BY g) > 1 THEN j END AS hit FROM w),
+x AS (
+  SELECT r, j, b, coalesce(last_value(hit IGNORE NULLS) OVER (PARTITION BY r ORDER BY j) > j - 400, false) AS gone FROM m),
+y AS (
+  SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY r ORDER BY j), false) AS first FROM x),
+z AS (
+  SELECT r, count(*) AS n, count(*) FILTER (gone) AS n_removed, count(*) FILTER (first) AS n_spans,
+         coalesce(string_agg(b, '' ORDER BY j) FILTER (NOT gone), '') AS rest
+  FROM y GROUP BY r)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(rest, ''))) AS kept_sha256
+FROM d LEFT JOIN z ON d.r = z.r
+"""
+
+OP4 = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, {WORDS} AS w FROM documents),
+p AS (
+  SELECT r, unnest(range(1, len(w) + 1)) AS j, w FROM d),
+w AS (
+  SELECT r, j, w[j] AS word, CASE WHEN j + 34 <= len(w) THEN md5(array_to_string(w[j:j + 34], ' ')) END AS g FROM p),
+m AS (
+  SELECT r, j, word, CASE WHEN g IS NOT NULL AND count(*) OVER (PARTITION BY g) > 1 THEN j END AS hit FROM w),
+x AS (
+  SELECT r, j, word, coalesce(last_value(hit IGNORE NULLS) OVER (PARTITION BY r ORDER BY j) > j - 35, false) AS gone FROM m),
+y AS (
+  SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY r ORDER BY j), false) AS first FROM x),
+z AS (
+  SELECT r, count(*) FILTER (gone) AS n_removed, count(*) FILTER (first) AS n_spans, string_agg(word, ' ' ORDER BY j) FILTER (NOT gone) AS rest
+  FROM y GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(coalesce(rest, '')) AS kept_sha256
+FROM d LEFT JOIN z ON d.r = z.r
+"""
+
 ORACLES = {
+    "op1_minhash_dedup": OP1,
+    "op2_suffix_array_dedup": OP2,
+    "op4_substring_dedup": OP4,
     "op12_importance_resampling": OP12,
     "op11_phrase_mining": OP11,
     "op7_mixing": OP7,
