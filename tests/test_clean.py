@@ -1,4 +1,4 @@
-"""Cleaning: the given example, every edge row, and the split's invariants."""
+"""Cleaning: a small example, every edge row, and the split's invariants."""
 
 from __future__ import annotations
 

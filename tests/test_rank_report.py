@@ -1,4 +1,4 @@
-"""Top lists and reports: given examples, ties, NULLs, order, plans."""
+"""Top lists and reports: small examples, ties, NULLs, order, plans."""
 
 from __future__ import annotations
 

@@ -11,6 +11,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from rategauge.operators import add_tracking
 from rategauge.schemas import AVERAGE_CSV, AVERAGE_TABLE, RANKED_CSV, RAW_LISTING
 from rategauge.sinks import overwrite_months, overwrite_partition, write_csv, write_parquet
+from rategauge.sources import listings as listing_source
 from rategauge.sources import (
     month_file,
     read_average_table,
@@ -72,7 +73,7 @@ def test_many_files_and_single_line_reading(spark, tmp_path):
 
 def test_missing_path(spark):
     with pytest.raises(FileNotFoundError):
-        read_listings(spark, "resources/input/missing_file.csv")
+        read_listings(spark, "/nonexistent/listings_2031-01.csv")
     with pytest.raises(FileNotFoundError):
         read_average_table(spark, "/nonexistent/table")
 
@@ -223,3 +224,60 @@ def test_tracking(spark):
         "listings_2025-01.csv", "scheduled", "batch_1")
     assert row.processing_timestamp == datetime(2025, 1, 2)
     assert add_tracking(df, "x", "b").first().processing_timestamp is not None
+
+
+LINES = [
+    ("a,b,c", True),
+    ('"a","b, c",""', True),
+    ('"say ""hi""",2', True),
+    ('"",', True),
+    ('1,"opens', False),
+    ('closes",2', False),
+    ('5" pipe,"abc', False),
+    ('"a"b,c', False),
+    ('"a""', False),
+    (' "a"', False),
+    ("", True),
+    ('"' + '""' * 200_000 + '",1', True),
+    ('"' + "x" * 200_000, False),
+]
+
+
+def test_whole_lines(spark):
+    frame = spark.createDataFrame(LINES, "value string, want boolean")
+    got = frame.select("want", listing_source.is_whole_line(F.col("value")).alias("got")).collect()
+    assert [r.got for r in got] == [r.want for r in got]
+
+
+@pytest.fixture
+def small_splits(spark):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    yield
+    spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_the_data_decide_how_files_are_read(spark, tmp_path, small_splits):
+    plain = "id,name\n" + "".join(f'{k},"n, ""{k}"""\n' for k in range(2000))
+    broken = "id,name\n" + "".join(f'{k},"line\nbreak {k}"\n' for k in range(2000, 4000))
+    (tmp_path / "plain.csv").write_text(plain)
+    (tmp_path / "broken.csv").write_text(broken)
+    (tmp_path / "small.csv").write_text('id,name\n9999,"a\nb"\n')
+    path = str(tmp_path)
+    found = [[os.path.basename(f) for f in files] for files in listing_source.broken_files(spark, [path])]
+    assert [sorted(files) for files in found] == [["broken.csv", "small.csv"], ["plain.csv"]]
+    read = read_listings(spark, path)
+    assert rows(read) == rows(read_listings(spark, path, multi_line=True))
+    assert read.count() == 4001
+    split = read_listings(spark, f"{path}/plain.csv")
+    assert split.rdd.getNumPartitions() > 5 and split.count() == 2000
+    assert read_listings(spark, f"{path}/broken.csv").rdd.getNumPartitions() == 1
+
+
+def test_monthly_runs_split_plain_files(spark, tmp_path, small_splits):
+    from rategauge.plans import MonthlyRun, run_month
+
+    path = tmp_path / "listings_2025-01.csv"
+    path.write_text("id,neighbourhood_cleansed,price,last_scraped\n" + "".join(f"{k},Soho,${k + 1}.00,2025-01-03\n" for k in range(2000)))
+    store = run_month(spark, MonthlyRun("2025-01", str(path), str(tmp_path / "out"), "batch"))
+    assert len(store.classified("accepted").inputFiles()) > 5
