@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rategauge.llm import hamming, html, minhash, mixing, oracles, phrases, pieces, pii, quality, resample, suffix_levels, suffix_trees, syncmers, urls
+from rategauge.plans.shipping import shipped
 
 #: Where the public vocabulary is; every executor can read it.
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return shipped(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op1_minhash_dedup(spark, sf_dir):
