@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from rategauge.llm import minhash, mixing, pieces, pii, quality
 from rategauge.llm.queries import PIECE_MODEL
 from rategauge.plans.scratch import stored
+from rategauge.plans.shipping import shipped
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -35,6 +36,7 @@ def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     different texts, each by its own text. Texts without words are no copies of each other and stay; an
     empty table stays empty.
     """
+    shipped(spark)
     return minhash.one_of_each(docs.select(*COLUMNS), words=5, percent=80)
 
 
@@ -44,6 +46,7 @@ def pii_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     Every row stays. A null text and its n_chars are null, an empty text is empty; rows that repeat are
     redacted alike.
     """
+    shipped(spark)
     clean = pii.redacted(docs.select(*COLUMNS))
     return clean.withColumn("n_chars", F.length("text").cast("long"))
 
@@ -62,6 +65,7 @@ def sentencepiece_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     Null and empty texts have no ids; rows that repeat and null ids are rows as others.
     """
+    shipped(spark)
     return pieces.encoded(docs, PIECE_MODEL)
 
 
