@@ -2,15 +2,18 @@
 
 Static step: a segment of the path that varies by nature (digits, long hex, very long) is a
 wildcard. Counts are taken per host and static template, and all that follows works on that much
-smaller table. Statistical step: under one parent, a literal segment with less than ``1 / branches``
-of its parent's pages becomes a wildcard too. Sibling branches whose share of bad labels does not
-differ from that of their siblings (two-sided z below ``z``) are merged and share their counts. A
-template is rejected where its share of good labels, smoothed towards its host's and that towards
-the share of all, is below ``purity``.
+smaller table. The tree is then built level by level, each below the branches of the one before: a
+literal segment with less than ``1 / branches`` of its parent's pages becomes a wildcard too, so what
+stands below rare segments is counted together; and siblings whose share of bad labels does not differ
+from that of the others (two-sided z below ``z``) are one branch, whose subtrees share their counts.
+Templates show the wildcards, not the merges. A template is rejected where its branch's share of good
+labels, smoothed towards its host's and that towards the share of all, is below ``purity``.
+A tree has at most ``DEPTH`` levels; what is deeper is one segment.
 
 Built from SQL functions only. Counts are summed per task before the shuffle, so a host with a third
 of all pages is not gathered; joins have one row per template or parent on one side, and AQE splits
-the other. Rules are a parameter, at most ``MAX_RULES`` of them, compiled to one expression.
+the other. Rules are a parameter: up to ``INLINE_RULES`` are compiled to one expression, more are joined
+by the host and the domains above it.
 
 Defined results: a null url, or one without ``://``, has empty host and path, fits no rule and is
 judged by the template of the empty host; rows that repeat count each; a label table may hold an id
@@ -28,7 +31,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from rategauge.llm.text import lower_ascii
 from rategauge.plans.scratch import stored
 
-MAX_RULES = 500
+INLINE_RULES = 500
+DEPTH = 8
 
 
 @dataclass(frozen=True)
@@ -60,8 +64,6 @@ def path(url: str) -> Column:
 
 def longest_rule(rules: Sequence[Rule]) -> Column:
     """``struct(name, verdict)`` of the longest rule that fits ``host`` and ``path``, or null."""
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} rules")
     found = []
     for rule in sorted(rules, key=lambda r: (-len(r.name), r.name)):
         fits = (F.col("host") == rule.host) | F.col("host").endswith("." + rule.host)
@@ -71,6 +73,21 @@ def longest_rule(rules: Sequence[Rule]) -> Column:
     return F.coalesce(*found, none)
 
 
+def with_longest_rule(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """``df`` with ``hit`` as :func:`longest_rule` gives it, for any number of rules."""
+    if len(rules) <= INLINE_RULES:
+        return df.withColumn("hit", longest_rule(rules))
+    table = df.sparkSession.createDataFrame([(r.host, r.path, r.name, r.verdict) for r in rules], "domain string, start string, name string, verdict string")
+    found = F.collect_list(F.struct((-F.length("name")).alias("order"), "name", "verdict", "start")).alias("found")
+    parts = F.split("host", "[.]", -1)
+    above = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "."))
+    hosts = df.select("host").distinct().withColumn("domain", F.explode(above))
+    of_host = hosts.join(table.groupBy("domain").agg(found), "domain").groupBy("host").agg(F.flatten(F.collect_list("found")).alias("found"))
+    best = F.array_min(F.filter("found", lambda r: F.col("path").startswith(r["start"])))
+    hit = F.when(best.isNotNull(), F.struct(best["name"].alias("name"), best["verdict"].alias("verdict")))
+    return df.join(of_host, "host", "left").withColumn("hit", hit).drop("found")
+
+
 def static_template(path: str) -> Column:
     """The path with segments that vary by nature as wildcards; a file ending stays."""
     segments = F.filter(F.split(path, "/", -1), lambda s: s != "")
@@ -83,6 +100,32 @@ def static_template(path: str) -> Column:
     return F.transform(segments, general)
 
 
+def _grown(counts: DataFrame, branches: int, z: float) -> DataFrame:
+    """``counts`` with ``template`` and ``branch`` of each static template, one stored table per level."""
+    deep = F.concat(F.slice("static", 1, DEPTH - 1), F.array(F.array_join(F.slice("static", DEPTH, F.size("static")), "/")))
+    tree = F.when(F.size("static") > DEPTH, deep).otherwise(F.col("static"))
+    none = F.array().cast("array<string>")
+    rows = counts.withColumns({"tree": tree, "template": none, "branch": none})
+    one, parent = F.lit(1), ["host", "branch"]
+    for level in range(1, (rows.agg(F.max(F.size("tree"))).first()[0] or 0) + 1):
+        rows = rows.withColumn("segment", F.try_element_at("tree", F.lit(level)))
+        share = rows.where("segment IS NOT NULL").groupBy(*parent, "segment").agg(*(F.sum(c).alias(c) for c in "nmb"))
+        whole = share.groupBy(*parent).agg(*(F.sum(c).alias(f"all_{c}") for c in "nmb"))
+        rare = F.col("n") * branches < F.col("all_n")
+        share = share.join(whole, parent).withColumn("name", F.when(rare, F.lit("*")).otherwise(F.col("segment")))
+        arcs = share.groupBy(*parent, "name").agg(F.sum("m").alias("m"), F.sum("b").alias("b"), *(F.first(f"all_{c}").alias(f"all_{c}") for c in "mb"))
+        others, pooled = F.col("all_m") - F.col("m"), F.try_divide("all_b", "all_m")
+        gap = F.abs(F.try_divide("b", "m") - F.try_divide(F.col("all_b") - F.col("b"), others))
+        spread = F.sqrt(pooled * (1 - pooled) * (F.try_divide(one, F.col("m")) + F.try_divide(one, others)))
+        alike = F.coalesce(gap <= z * spread, F.lit(True))  # nothing labelled here or elsewhere: alike
+        arcs = arcs.select(*parent, "name", F.when(alike, F.lit("~")).otherwise(F.col("name")).alias("arc"))
+        steps = share.select(*parent, "segment", "name").join(arcs, [*parent, "name"])
+        rows = rows.join(steps, [*parent, "segment"], "left")
+        grown = {c: F.when(F.col(s).isNull(), F.col(c)).otherwise(F.concat(c, F.array(s))) for c, s in (("template", "name"), ("branch", "arc"))}
+        rows = stored(rows.withColumns(grown).drop("segment", "name", "arc"), "level")
+    return rows
+
+
 def template_verdicts(
     pages: DataFrame,
     branches: int = 50,
@@ -100,46 +143,21 @@ def template_verdicts(
         ).withColumn("b", F.coalesce("b", F.lit(0)).cast("double")),
         "templates",
     )
-    steps = counts.select("host", "static", "n", F.posexplode("static").alias("depth", "segment"))
-    steps = steps.withColumn("parent", F.expr("slice(static, 1, depth)"))
-    child = ["host", "parent", "segment"]
-    share = steps.groupBy(*child).agg(F.sum("n").alias("c"))
-    whole = share.groupBy("host", "parent").agg(F.sum("c").alias("of"))
-    rare = share.join(whole, ["host", "parent"]).where(F.col("c") * branches < F.col("of"))
-    general = F.when(F.col("c").isNotNull(), F.lit("*")).otherwise(F.col("segment"))
-    named = steps.join(rare.select(*child, "c"), child, "left")
-    placed = F.array_sort(F.collect_list(F.struct("depth", general.alias("s"))))
-    named = named.groupBy("host", "static").agg(F.transform(placed, lambda x: x["s"]).alias("template"))
-    counts = counts.join(named, ["host", "static"], "left").withColumn(
-        "template", F.coalesce("template", F.col("static"))
-    )
-    counts = stored(counts.withColumn("up", F.expr("slice(template, 1, greatest(size(template) - 1, 0))")), "named")
-
-    leaf = counts.groupBy("host", "up", "template").agg(F.sum("m").alias("m"), F.sum("b").alias("b"))
-    siblings = leaf.groupBy("host", "up").agg(F.sum("m").alias("um"), F.sum("b").alias("ub"))
-    leaf = leaf.join(siblings, ["host", "up"])
-    others, pooled = F.col("um") - F.col("m"), F.try_divide("ub", "um")
-    rest_bad = F.try_divide(F.col("ub") - F.col("b"), others)
-    gap = F.abs(F.try_divide("b", "m") - rest_bad)
-    one = F.lit(1)
-    spread = F.sqrt(pooled * (1 - pooled) * (F.try_divide(one, F.col("m")) + F.try_divide(one, others)))
-    alike = F.coalesce(gap <= z * spread, F.lit(True))  # nothing labelled here or elsewhere: alike
-    leaf = leaf.withColumn("branch", F.when(alike, F.lit("")).otherwise(F.array_join("template", "/")))
-    branch = ["host", "up", "branch"]
-    merged = leaf.groupBy(*branch).agg(F.sum("m").alias("bm"), F.sum("b").alias("bb"))
+    counts = _grown(counts, branches, z)
+    merged = counts.groupBy("host", "branch").agg(F.sum("m").alias("bm"), F.sum("b").alias("bb"))
     of_host = counts.groupBy("host").agg(F.sum("m").alias("hm"), F.sum("b").alias("hb"))
     labelled, bad = counts.agg(F.sum("m"), F.sum("b")).first()
     labelled, bad = labelled or 0, bad or 0.0
-    judged = leaf.select(*branch, "template").join(merged, branch).join(of_host, "host")
+    judged = merged.join(of_host, "host")
     every = F.lit((labelled - bad + 1) / (labelled + 2))
     in_host = (F.col("hm") - F.col("hb") + prior * every) / (F.col("hm") + prior)
     good = (F.col("bm") - F.col("bb") + prior * in_host) / (F.col("bm") + prior)
-    judged = judged.select("host", "template", good.alias("purity"))
+    judged = judged.select("host", "branch", good.alias("purity"))
     verdict = F.when(F.col("purity") < purity, F.lit("block")).otherwise(F.lit("allow"))
     shown = F.concat(F.lit("/"), F.array_join("template", "/"))
     return (
-        counts.select("host", "static", "template")
-        .join(judged, ["host", "template"])
+        counts.select("host", "static", "template", "branch")
+        .join(judged, ["host", "branch"])
         .select("host", "static", shown.alias("template"), "purity", verdict.alias("learnt"))
     )
 
@@ -157,7 +175,7 @@ def judged_urls(
     has them.
     """
     df = pages.select(F.col(id).alias("id"), host(url).alias("host"), path(url).alias("path"))
-    df = df.withColumn("static", static_template("path")).withColumn("hit", longest_rule(rules))
+    df = with_longest_rule(df.withColumn("static", static_template("path")), rules)
     if labels is None:
         df = df.withColumn("labelled", F.lit(None).cast("int"))
     else:

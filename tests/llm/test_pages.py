@@ -6,6 +6,8 @@ import re
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from rategauge.llm import html, urls
 from tests.helpers import python_free
 
@@ -135,3 +137,51 @@ def test_names_inside_an_article():
     page = f"<body><article>{paragraphs(0)}{parts}</article>{rest}</body>"
     assert html.main_text(page).split("\n") == [*map(line, range(4)), "Price", "Both"]
     assert html.main_text(f"<body><div>{paragraphs(0)}</div><form><div>Name</div></form></body>").split("\n") == list(map(line, range(4)))
+
+
+def _labelled(spark, paths):
+    rows = [(k, f"http://h.org{p}", bad) for k, (p, bad) in enumerate(paths)]
+    pages = spark.createDataFrame([r[:2] for r in rows], "page_id long, url string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows if r[2] is not None], "id long, bad int")
+    return {r.path: r for r in urls.judged_urls(pages, labels, rules=()).collect()}
+
+
+def test_what_stands_below_rare_segments_is_counted_together(spark):
+    """Each user has one page of either kind; only the kinds tell good from bad."""
+    names = [f"{a}{b}" for a in "abcdefghijklmn" for b in "opqrstuvw"]
+    paths = [(f"/{u}/{kind}/x", bad if k % 2 else None) for k, u in enumerate(names) for kind, bad in (("spam", 1), ("posts", 0))]
+    got = _labelled(spark, paths)
+    assert {r.template for r in got.values()} == {"/*/spam/x", "/*/posts/x"}
+    assert all(r.verdict == ("block" if "spam" in p else "allow") for p, r in got.items())
+
+
+def test_siblings_that_do_not_differ_share_their_subtrees(spark):
+    """Two languages are labelled alike, so the bad section of one tells of the other's."""
+    paths = [(f"/{lang}/{part}/p{k}a", bad) for lang in ("en", "fr") for part, bad in (("ads", 1), ("news", 0)) for k in range(30)]
+    paths += [(f"/it/{part}/only", None) for part in ("ads", "news")]
+    got = _labelled(spark, paths)
+    assert got["/it/ads/only"].verdict == "block" and got["/it/news/only"].verdict == "allow"
+    assert got["/it/ads/only"].purity == got["/en/ads/p1a"].purity
+
+
+def test_deep_paths_ties_and_clashing_columns(spark):
+    deep = "/" + "/".join("abcdefghijklmnopq")
+    rows = [(1, "http://h.org" + deep), (1, "http://h.org" + deep), (2, None), (3, "x"), (4, "http://h.org/" + "y" * 100_000), (None, "HTTP://A.b/c")]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    got = urls.judged_urls(pages).collect()
+    odd = urls.judged_urls(pages.withColumns({c: F.lit("x") for c in "id host path static hit bad template branch n m b html".split()})).collect()
+    assert sorted(map(repr, got)) == sorted(map(repr, odd)) and len(got) == len(rows)
+    assert [r.template for r in got if r.page_id == 1] == [deep] * 2
+    assert [r.verdict for r in got if r.page_id == 2] == ["allow"]
+
+
+def test_many_rules_are_joined(spark, monkeypatch):
+    hosts = ["org", "a.org", "b.a.org", "x.net", "A.org.net", "org.", ""]
+    urls_ = [f"http://{h}{p}" for h in hosts for p in ("", "/", "/en/x", "/fr/", "/en")] + [None, "none"]
+    pages = spark.createDataFrame(list(enumerate(urls_)), "page_id long, url string")
+    rules = [urls.Rule(v, h, p) for h, p, v in (("org", "/", "allow"), ("a.org", "/en/", "block"), ("a.org", "/", "block"), ("net", "/fr", "block"), ("b.a.org", "/en", "allow"))]
+    inline = [(r.page_id, r.rule, r.verdict) for r in urls.judged_urls(pages, rules=rules).collect()]
+    monkeypatch.setattr(urls, "INLINE_RULES", 1)
+    joined = urls.judged_urls(pages, rules=rules)
+    assert sorted(inline) == sorted((r.page_id, r.rule, r.verdict) for r in joined.collect())
+    assert python_free(joined) and any(rule == "b.a.org/en" for _, rule, _ in inline)
