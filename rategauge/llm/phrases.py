@@ -40,6 +40,8 @@ SHARD_WORDS = 1 << 19
 RANGE_BYTES, RANGE_GRAMS = 8 << 20, 200_000
 #: N-grams sampled for each range, and texts to take them from.
 SAMPLES, SAMPLE_TEXTS = 100, 4000
+#: Parts of a lang that are ranked by themselves before the lang is.
+LISTS = 16
 UNKNOWN = "und"
 SCALE = 1_000_000
 
@@ -239,8 +241,12 @@ def collocations(
     )
     kept = found.join(covered.distinct(), ["lang", "words"], "left_anti")
     kept = kept.withColumn("phrase", F.array_join("words", " "))
-    best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranks = kept.withColumn("rank", F.row_number().over(best))
+    order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
+    if top is not None:  # first within parts of a lang, so that no task sees more than LISTS lists of it
+        part = F.pmod(F.xxhash64("phrase"), F.lit(LISTS)).alias("part")
+        place = F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))
+        kept = kept.select("*", part).withColumn("place", place).where(F.col("place") <= top)
+    ranks = kept.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
     if top is not None:
         ranks = ranks.where(F.col("rank") <= top)
     return ranks.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
