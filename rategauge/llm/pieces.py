@@ -22,6 +22,7 @@ from __future__ import annotations
 import re
 from array import array
 from collections.abc import Iterable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -139,6 +140,7 @@ def viterbi(text: str, vocabulary: Vocabulary) -> Iterator[list[int]]:
 class Codec:
     def __init__(self, path: str):
         self.vocabulary = Vocabulary(path)
+        self.surfaces = pa.array(self.vocabulary.surface, pa.large_binary())
         self.cache: dict[str, bytes] = {}
         # Blanks go with the word behind them: pieces of several blanks exist.
         pattern = " *[^ ]+| +" if self.vocabulary.blank_cuts else "(?s).+"
@@ -164,6 +166,20 @@ class Codec:
     def decode(self, ids: Iterable[int]) -> str:
         return b"".join(map(self.vocabulary.surface.__getitem__, ids))[1:].decode()
 
+    def restores(self, ids: pa.ListArray, texts: list[str]) -> list[bool]:
+        """Whether each list of ids decodes to its text; all surfaces are looked up at once."""
+        found = self.surfaces.take(ids.flatten())
+        _, places, data = found.buffers()
+        at = np.frombuffer(places, np.int64)[np.concatenate([[0], np.cumsum(ids.value_lengths().to_numpy())])].tolist()
+        whole = memoryview(data) if data is not None else memoryview(b"")
+        return [bytes(whole[a + 1 : b]) == t.encode() if b > a else not t for a, b, t in zip(at, at[1:], texts)]
+
+
+@cache
+def shared_codec(path: str) -> Codec:
+    """One codec for all tasks of a Python worker: it is made once, and its table of segments stays."""
+    return Codec(path)
+
 
 def encoded(docs: DataFrame, model: str, id: str = "doc_id", text: str = "text") -> DataFrame:
     """``(id, n_ids, ids, round_trip)`` of every row. ``model`` is a path every executor can read.
@@ -172,16 +188,15 @@ def encoded(docs: DataFrame, model: str, id: str = "doc_id", text: str = "text")
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = None
         for batch in pieces(batches):
-            codec = codec or Codec(model)
+            codec = shared_codec(model)
             texts = [t or "" for t in batch.column("text").to_pylist()]
             packed = [codec.encode(t) for t in texts]
-            same = [codec.decode(array("i", p)) == t for p, t in zip(packed, texts)]
             counts = np.array([len(p) // 4 for p in packed], np.int64)
             ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
             values = np.frombuffer(b"".join(packed), np.int32)
             ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
+            same = codec.restores(ids, texts)
             yield pa.record_batch(
                 [batch.column("id"), pa.array(counts), ids, pa.array(same, pa.bool_())],
                 names=["id", "n_ids", "ids", "round_trip"],
@@ -197,9 +212,8 @@ def decoded(rows: DataFrame, model: str, id: str = "doc_id", ids: str = "ids") -
     """``(id, text)`` from ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = None
+        codec = shared_codec(model)
         for batch in batches:
-            codec = codec or Codec(model)
             texts = [codec.decode(x or []) for x in batch.column("ids").to_pylist()]
             yield pa.record_batch([batch.column("id"), pa.array(texts, pa.string())], names=["id", "text"])
 

@@ -356,3 +356,17 @@ def test_added_spans_of_long_texts_in_linear_time():
         ends = sorted((s, e) for _, s, e in out)
         assert all(a[1] <= b[0] for a, b in zip(ends, ends[1:]))
     assert took[1] < 12 * took[0] + 1
+
+
+def test_round_trips_are_told_from_others():
+    import pyarrow as pa
+    from array import array
+
+    codec = pieces.shared_codec(MODEL)
+    texts = [r[1] or "" for r in EDGES] + ["\x00", " ", "a" * 3000]
+    ids = [list(array("i", codec.encode(t))) for t in texts]
+    lists = pa.array(ids, pa.list_(pa.int32()))
+    assert codec.restores(lists, texts) == [True] * len(texts) == [codec.decode(i) == t for i, t in zip(ids, texts)]
+    assert codec.restores(lists, [t + "x" for t in texts]) == [False] * len(texts)
+    assert codec.restores(lists.slice(3, 4), texts[3:7]) == [True] * 4
+    assert codec.restores(lists.slice(0, 0), []) == []
