@@ -51,6 +51,8 @@ _DROPPED = frozenset(
     "nav aside footer form script style noscript iframe template svg canvas button select option textarea "
     "input label object audio video dialog menu head title".split()
 )
+#: ... of which these are its words inside an article; a form around them leaves them out.
+_INLINE = frozenset("label button".split())
 #: ... and by a whole token of their class, id or role: a word of these, alone or with words of place and form.
 _NAMED = re.compile(
     r"ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|notices?|gdpr|popup|modal|nav|navbar|navigation|"
@@ -108,7 +110,7 @@ def _named(token: str, inside_article: bool) -> int:
 
 
 def _drop(tag: str, attributes: str, inside_article: bool) -> int:
-    if tag in _DROPPED and tag != "form" or tag == "header" and not inside_article:
+    if tag == "header" and not inside_article or tag in _DROPPED and tag != "form" and not (inside_article and tag in _INLINE):
         return _GONE
     drop = _SOFT if tag == "form" else _KEPT
     for m in _ATTRIBUTE.finditer(attributes):
@@ -247,7 +249,8 @@ def _linked(node: Node) -> bool:
 def _main(nodes: list[Node]) -> tuple[list[Node], set[Node]]:
     """The subtrees that are the text, in page order, and the lists of links inside them that are not."""
     body = nodes[0]
-    best = max(nodes, key=lambda n: n.sum)
+    unlinked = [n for n in nodes if n.chars and not n.gone and not _linked(n)]
+    best = max(unlinked or nodes, key=lambda n: n.sum)
     least, node, path = best.density, best, set()
     while node is not None:
         least = min(least, node.density)
@@ -264,7 +267,7 @@ def _main(nodes: list[Node]) -> tuple[list[Node], set[Node]]:
         whole[node] = outer or (node if node.tag in ("article", "main") and not node.gone else None)
         if up in inside:
             inside.add(node)
-        elif node is best or node not in path and not node.gone and node.chars and node.density >= least:
+        elif node is best or node not in path and not node.gone and node.chars and node.density >= least and not _linked(node):
             chosen.append(node)
             inside.add(node)
     in_article = whole[best] is not None

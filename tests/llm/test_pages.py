@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import math
+import random
 import re
+from collections import defaultdict
 
 import pytest
 
 from pyspark.sql import functions as F
 
-from rategauge.llm import html, urls
+from rategauge.llm import html, queries, urls
 from tests.helpers import python_free
 
 PAGES = [
@@ -139,6 +142,20 @@ def test_names_inside_an_article():
     assert html.main_text(f"<body><div>{paragraphs(0)}</div><form><div>Name</div></form></body>").split("\n") == list(map(line, range(4)))
 
 
+def test_short_text_beside_many_links():
+    links = "<div>" + "".join(f"<a href={k}>Link number {k}</a> " for k in range(20)) + "</div>"
+    assert html.main_text(f"<body><p>Hi.</p>{links}</body>") == "Hi."
+    assert html.main_text(f"<body>{links}<div>{paragraphs(0)}</div>{links}</body>").split("\n") == list(map(line, range(4)))
+
+
+def test_labels_and_buttons_are_words_of_an_article_but_not_of_its_forms():
+    form = "<form><p><label>Name</label></p><button>Send</button></form>"
+    page = f"<article>{paragraphs(0)}<p>One <label>two</label> three.</p><p><button>Four</button></p>{form}</article>"
+    want = [*map(line, range(4)), "One two three.", "Four"]
+    assert html.main_text(f"<body><button>Menu</button>{page}</body>").split("\n") == want
+    assert html.main_text(f"<body><div>{paragraphs(0)}</div>{form}</body>").split("\n") == list(map(line, range(4)))
+
+
 def _labelled(spark, paths):
     rows = [(k, f"http://h.org{p}", bad) for k, (p, bad) in enumerate(paths)]
     pages = spark.createDataFrame([r[:2] for r in rows], "page_id long, url string")
@@ -185,3 +202,99 @@ def test_many_rules_are_joined(spark, monkeypatch):
     joined = urls.judged_urls(pages, rules=rules)
     assert sorted(inline) == sorted((r.page_id, r.rule, r.verdict) for r in joined.collect())
     assert python_free(joined) and any(rule == "b.a.org/en" for _, rule, _ in inline)
+
+
+def _plain_verdicts(rows, branches=50, z=1.96, prior=10.0, purity=0.5):
+    """``{(host, path): (template, purity, verdict)}`` of ``(host, path, bad)``: the tree, grown in plain Python."""
+    def general(s):
+        ending = re.search(r"\.[A-Za-z]{1,5}$", s)
+        varies = re.search("[0-9]", s) or re.match("[A-Fa-f]{12,}", s) or len(s) > 40
+        return "*" + (ending[0] if ending else "") if varies else s
+
+    trees = {}
+    for _, path, _ in rows:
+        segments = [general(s) for s in path.split("/") if s]
+        last = ["/".join(segments[urls.DEPTH - 1 :])] if len(segments) > urls.DEPTH else segments[urls.DEPTH - 1 :]
+        trees[path] = segments[: urls.DEPTH - 1] + last
+    shown, branch = [[] for _ in rows], [(host,) for host, _, _ in rows]
+
+    def counts(keys):
+        out = defaultdict(lambda: [0, 0, 0])
+        for key, (_, _, bad) in zip(keys, rows):
+            if key is not None:
+                for k, add in enumerate((1, bad is not None, bad or 0)):
+                    out[key][k] += add
+        return out
+
+    for level in range(urls.DEPTH):
+        at = [trees[path][level] if level < len(trees[path]) else None for _, path, _ in rows]
+        each = counts([(b, s) if s is not None else None for b, s in zip(branch, at)])
+        whole = counts([b if s is not None else None for b, s in zip(branch, at)])
+        name = {(b, s): "*" if n * branches < whole[b][0] else s for (b, s), (n, _, _) in each.items()}
+        arcs = counts([(b, name[b, s]) if s is not None else None for b, s in zip(branch, at)])
+        for k, s in enumerate(at):
+            if s is None:
+                continue
+            b = branch[k]
+            called = name[b, s]
+            (_, m, bad), (_, all_m, all_bad) = arcs[b, called], whole[b]
+            alike = True
+            if m and all_m - m:
+                share = all_bad / all_m
+                spread = math.sqrt(share * (1 - share) * (1 / m + 1 / (all_m - m)))
+                alike = abs(bad / m - (all_bad - bad) / (all_m - m)) <= z * spread
+            shown[k].append(called)
+            branch[k] = (*b, "~" if alike else called)
+    ends, hosts = counts(branch), counts([(host,) for host, _, _ in rows])
+    labelled, all_bad = sum(m for _, m, _ in hosts.values()), sum(b for _, _, b in hosts.values())
+    every = (labelled - all_bad + 1) / (labelled + 2)
+    out = {}
+    for (host, path, _), names, b in zip(rows, shown, branch):
+        (_, hm, hb), (_, m, bad) = hosts[(host,)], ends[b]
+        good = (m - bad + prior * ((hm - hb + prior * every) / (hm + prior))) / (m + prior)
+        out[host, path] = ("/" + "/".join(names), good, "block" if good < purity else "allow")
+    return out
+
+
+def _same_verdicts(got, rows, rules=()):
+    """``got`` against plain rules and the plain tree, for ``rows`` of ``(host, path, label)``."""
+    def hit(host, path):
+        fits = [r for r in rules if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+        return min(fits, key=lambda r: (-len(r.name), r.name), default=None)
+
+    hits = {(host, path): hit(host, path) for host, path, _ in rows}
+    bads = [(h, p, bad if hits[h, p] is None else int(hits[h, p].verdict == "block")) for h, p, bad in rows]
+    want = _plain_verdicts(bads)
+    assert len(got) == len(rows)
+    for r in got:
+        template, purity, learnt = want[r.host, r.path]
+        rule = hits[r.host, r.path]
+        assert (r.template, r.rule, r.verdict) == (template, rule and rule.name, rule.verdict if rule else learnt)
+        assert r.purity == pytest.approx(purity, abs=1e-12)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_tree_is_the_plain_one(spark, seed):
+    """Three hosts, one of them with most pages; what a label says hangs on some of the segments."""
+    draw = random.Random(seed)
+    names = ["ads", "news", "spam", "en", "fr"] + [f"u{a}{b}" for a in "abcdefgh" for b in "opqrstuv"]
+    rows = []
+    for _ in range(1500):
+        path = "".join("/" + draw.choice(names[: draw.choice([3, 5, len(names)])]) for _ in range(draw.randrange(5)))
+        path += draw.choice(["", "/", f"/{draw.randrange(99)}.html", "/index.php", "/a/b/c/d/e/f/g"])
+        bad = int(draw.random() < (0.9 if "spam" in path or "/ads/news" in path else 0.15))
+        rows.append((draw.choice(["h.org", "h.org", "h.org", "k.net", "m.io"]), path, bad if draw.random() < 0.4 else None))
+    pages = spark.createDataFrame([(k, f"http://{h}{p}") for k, (h, p, _) in enumerate(rows)], "page_id long, url string")
+    labels = spark.createDataFrame([(k, bad) for k, (_, _, bad) in enumerate(rows) if bad is not None], "id long, bad int")
+    got = urls.judged_urls(pages, labels, rules=()).collect()
+    _same_verdicts(got, rows)
+    assert {r.verdict for r in got} == {"allow", "block"} and any("/*" in r.template for r in got)
+    ruled = (urls.Rule("block", "net", "/spam/"), urls.Rule("allow", "k.net", "/spam/en"), urls.Rule("block", "org", "/"))
+    _same_verdicts(urls.judged_urls(pages, labels, rules=ruled).collect(), rows, ruled)
+
+
+def test_every_page_is_judged_as_by_the_plain_tree(spark, sf_dir):
+    label = {r.doc_id: int(r.quality == 0 or r.toxic == 1) for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
+    got = queries.op6_url_filters(spark, sf_dir).collect()
+    assert len(got) == spark.read.parquet(f"{sf_dir}/pages.parquet").count()
+    _same_verdicts(got, [(r.host, r.path, label.get(r.page_id)) for r in got], urls.RULES)
