@@ -431,27 +431,32 @@ def _shown(spans: list[Span]) -> str:
 
 
 def found(docs: DataFrame, detector: Detector | None = None, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(id, n_email, n_ip, n_card, n_phone, base_sha256, spans)`` of every row."""
+    """``(id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_spans)`` of every row.
+
+    The four counts are of base spans; ``n_spans`` counts all, those the trees chose included.
+    """
     detector = detector or fitted(docs, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
             counts: list[list[int]] = [[] for _ in BASE]
-            digest, shown = [], []
+            digest, shown, number = [], [], []
             for t in batch.column("text").to_pylist():
                 base, every = spans_of(t or "", detector)
                 for kind, into in zip(BASE, counts):
                     into.append(sum(s[0] == kind for s in base))
                 digest.append(hashlib.sha256(_shown(base).encode()).hexdigest())
                 shown.append(_shown(every))
+                number.append(len(every))
             columns = [batch.column("id"), *(pa.array(c, pa.int64()) for c in counts)]
-            names = ["id", *(f"n_{k}" for k in BASE), "base_sha256", "spans"]
-            yield pa.record_batch([*columns, pa.array(digest, pa.string()), pa.array(shown, pa.string())], names=names)
+            columns += [pa.array(digest, pa.string()), pa.array(shown, pa.string()), pa.array(number, pa.int64())]
+            names = ["id", *(f"n_{k}" for k in BASE), "base_sha256", "spans", "n_spans"]
+            yield pa.record_batch(columns, names=names)
 
     source = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
     kind = source.schema["id"].dataType.simpleString()
     numbers = ", ".join(f"n_{k} long" for k in BASE)
-    out = source.mapInArrow(run, f"id {kind}, {numbers}, base_sha256 string, spans string")
+    out = source.mapInArrow(run, f"id {kind}, {numbers}, base_sha256 string, spans string, n_spans long")
     return out.withColumnRenamed("id", id)
 
 

@@ -240,6 +240,18 @@ def test_base_spans():
     assert [k for k, *_ in pii.base_spans(EDGES[-1][1])] == ["email", "ip", "card", "phone"]
 
 
+def test_counts_and_places_of_spans(edges):
+    for r in pii.found(edges, DETECTOR).collect():
+        assert r.n_spans == len(r.spans.split(",")) * bool(r.spans)
+        assert r.n_spans >= r.n_email + r.n_ip + r.n_card + r.n_phone
+    one = edges.where("doc_id = 12").select("doc_id", "text")
+    base = brute_spans(one.first().text)
+    shown = [f"{s[0]}:{s[1]}:{s[2]}" for s in base]
+    got = pii.found(one, DETECTOR).first()
+    assert (got.n_email, got.n_ip, got.n_card, got.n_phone, got.n_spans) == (1, 1, 1, 1, 4)
+    assert got.base_sha256 == hashlib.sha256(",".join(shown).encode()).hexdigest() and got.spans.split(",") == shown
+
+
 def test_added_spans_hold_out():
     examples = pii.made_examples(120, seed=99)
     right = wrong = missed = 0
