@@ -13,10 +13,12 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 from datetime import datetime, timezone
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rategauge.functions import exact_sum, exact_total, mean_of
@@ -82,6 +84,17 @@ def _check_roles(manifest: Manifest, roles: Roles) -> None:
         raise ValueError(f"the tables were made with {manifest.roles}, not with {roles}")
 
 
+def side_by_side(spark: SparkSession, *writes: Callable[[], object]) -> None:
+    """Submit independent writes together, so that small ones fill what a large one leaves idle.
+
+    All end before the first failure, in the order given, is raised.
+    """
+    with ThreadPoolExecutor(len(writes)) as pool:
+        done = [pool.submit(inheritable_thread_target(spark)(write)) for write in writes]
+    for write in done:
+        write.result()
+
+
 # -- a run's own folder -----------------------------------------------------------
 
 
@@ -137,11 +150,14 @@ def _store_run(store: Store, job: _Job) -> dict[str, Part]:
     clean = records.filter(F.col(OUTCOME) == ACCEPTED)
     clean = clean.select(RUN_MONTH, *roles.columns, "price_num", "year_month", "source_file")
     sums = clean.groupBy(*keys).agg(F.count("*").alias("listing_count"), exact_total(F.col("price_num")).alias("cents"))
-    write_parquet(sums.select(*states_table(roles).names), job.folder(store, "states"))
     extremes = extreme_prices(clean, job.run.top_k, keys, roles)
-    write_parquet(extremes.select(*extremes_table(roles).names), job.folder(store, "extremes"))
     counts = quality_totals(records, [RUN_MONTH, "source_file", "year_month"])
-    _store_audit(store, job, SUCCESS, "completed", counts)
+    side_by_side(
+        store.spark,
+        lambda: write_parquet(sums.select(*states_table(roles).names), job.folder(store, "states")),
+        lambda: write_parquet(extremes.select(*extremes_table(roles).names), job.folder(store, "extremes")),
+        lambda: _store_audit(store, job, SUCCESS, "completed", counts),
+    )
 
     states = store.read("states", states_table(roles), [f"{RUN}={job.id}"])
     held: dict[str, list[str]] = {month: [] for month in job.files}

@@ -206,6 +206,18 @@ def test_a_run_that_fails_leaves_all_as_it_was(spark, tmp_path, monkeypatch, ste
     assert prices(store) == [("2025-01", "Camden", 1, "50.00"), ("2025-01", "Soho", 3, "433.33"), ("2025-02", "Soho", 2, "40.00")]
 
 
+def test_writes_side_by_side_all_end_before_a_failure_is_raised(spark):
+    ended = []
+
+    def fails():
+        ended.append(spark.range(3).count())
+        raise ValueError("first")
+
+    with pytest.raises(ValueError, match="first"):
+        monthly.side_by_side(spark, fails, lambda: ended.append(spark.range(40).count()), lambda: ended.append(spark.range(500).count()))
+    assert sorted(ended) == [3, 40, 500]
+
+
 def test_two_runs_on_one_base_both_count(spark, tmp_path, monkeypatch):
     """Another run is published between a run's merge and its publication."""
     root, other, publish = tmp_path / "out", [], monthly.publish
