@@ -11,7 +11,8 @@ all nodes that can still be extended meet in one boundary, the ids before it are
 given out and the window moves on. Memory is bounded by the distance between such boundaries, not by
 the text. A boundary between two characters that stand side by side in no piece is one that all
 paths meet in; text is cut there beforehand, and the ids of short segments between such cuts are kept
-in a table of bounded size, since words repeat.
+in a table of bounded size, since words repeat. A segment no longer than the first window needs no
+such care and is searched at once.
 
 Defined results: a null or empty text has no ids and decodes to the empty text; rows that repeat are
 encoded each; an empty table gives an empty result; other columns play no part.
@@ -137,11 +138,65 @@ def viterbi(text: str, vocabulary: Vocabulary) -> Iterator[list[int]]:
     yield path(size - base)
 
 
+def short_viterbi(text: str, vocabulary: Vocabulary) -> list[int]:
+    """:func:`viterbi` of a text that fits its first window: nothing is given out before the end."""
+    root, nowhere, size = vocabulary.root, float("-inf"), len(text)
+    best = [0.0] + [nowhere] * size
+    back = [0] * (size + 1)
+    step = [-1] * (size + 1)
+    for k in range(size):
+        score, end = best[k], k
+        children = root[0]
+        while end < size and (node := children.get(text[end])):
+            children, value, piece = node
+            end += 1
+            if piece >= 0 and score + value > best[end]:
+                best[end], back[end], step[end] = score + value, k, piece
+        if best[k + 1] == nowhere:
+            best[k + 1] = score + BYTE_SCORE * len(text[k].encode())
+            back[k + 1] = k
+    ids: list[int] = []
+    while size > 0:
+        if step[size] >= 0:
+            ids.append(step[size])
+        else:
+            ids.extend(vocabulary.byte[b] for b in reversed(text[size - 1].encode()))
+        size = back[size]
+    return ids[::-1]
+
+
+class Segments(dict[str, bytes]):
+    """Packed ids by segment, made when first asked for.
+
+    Of short segments a bounded number is kept, in two generations: when the newer one is full, the
+    older one is forgotten except for what was asked for again meanwhile. So frequent words stay.
+    """
+
+    def __init__(self, vocabulary: Vocabulary):
+        super().__init__()
+        self.vocabulary = vocabulary
+        self.older: dict[str, bytes] = {}
+
+    def __missing__(self, segment: str) -> bytes:
+        ids = self.older.get(segment)
+        if ids is None:
+            if len(segment) <= 2 * self.vocabulary.longest:
+                ids = array("i", short_viterbi(segment, self.vocabulary)).tobytes()
+            else:
+                ids = b"".join([array("i", part).tobytes() for part in viterbi(segment, self.vocabulary)])
+        if len(segment) <= CACHE_LENGTH:
+            if len(self) >= CACHE_SEGMENTS // 2:
+                self.older = dict(self)
+                self.clear()
+            self[segment] = ids
+        return ids
+
+
 class Codec:
     def __init__(self, path: str):
         self.vocabulary = Vocabulary(path)
         self.surfaces = pa.array(self.vocabulary.surface, pa.large_binary())
-        self.cache: dict[str, bytes] = {}
+        self.cache = Segments(self.vocabulary)
         # Blanks go with the word behind them: pieces of several blanks exist.
         pattern = " *[^ ]+| +" if self.vocabulary.blank_cuts else "(?s).+"
         self.segments = re.compile(pattern)
@@ -150,18 +205,7 @@ class Codec:
         """Ids as packed 32-bit integers."""
         if not text:
             return b""
-        cache, out = self.cache, []
-        for segment in self.segments.findall(" " + text):
-            ids = cache.get(segment)
-            if ids is None:
-                parts = viterbi(segment, self.vocabulary)
-                ids = b"".join([array("i", part).tobytes() for part in parts])
-                if len(segment) <= CACHE_LENGTH:
-                    if len(cache) >= CACHE_SEGMENTS:
-                        cache.clear()
-                    cache[segment] = ids
-            out.append(ids)
-        return b"".join(out)
+        return b"".join(map(self.cache.__getitem__, self.segments.findall(" " + text)))
 
     def decode(self, ids: Iterable[int]) -> str:
         return b"".join(map(self.vocabulary.surface.__getitem__, ids))[1:].decode()

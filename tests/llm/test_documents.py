@@ -382,3 +382,24 @@ def test_round_trips_are_told_from_others():
     assert codec.restores(lists, [t + "x" for t in texts]) == [False] * len(texts)
     assert codec.restores(lists.slice(3, 4), texts[3:7]) == [True] * 4
     assert codec.restores(lists.slice(0, 0), []) == []
+
+
+def test_frequent_segments_are_searched_once(monkeypatch):
+    from array import array
+
+    searched = []
+    for search in ("viterbi", "short_viterbi"):
+        real = getattr(pieces, search, None)
+        monkeypatch.setattr(pieces, search, lambda t, v, real=real: searched.append(t) or real(t, v), raising=False)
+    monkeypatch.setattr(pieces, "CACHE_SEGMENTS", 20)
+    codec = pieces.Codec(MODEL)
+    text = " ".join(f"often {k}" for k in range(200))
+    ids = codec.encode(text)
+    assert searched.count(" often") <= 2  # once for each generation at most; a cleared table searched it again
+    assert len(codec.cache) <= 20 and codec.decode(array("i", ids)) == text
+
+
+@pytest.mark.parametrize("text", [" ", " a", "  a", "日本", "\x00\n", " " * 20, "=" * 32, " Hello,wörld", " \U0001f600x"])
+def test_short_segments_are_cut_like_long_ones(text):
+    v = pieces.Codec(MODEL).vocabulary
+    assert pieces.short_viterbi(text, v) == [i for part in pieces.viterbi(text, v) for i in part]
