@@ -2,13 +2,15 @@
 
 A k-mer of code points is a closed syncmer if the smallest hash of its inner s-mers is that of the
 first or the last one. Whether it is depends on the k-mer alone, not on what stands around it, so an
-edit changes only the syncmers it touches; the others stay anchors. A fingerprint holds, in the order of
-the text, the anchors whose hash is below a fixed share (one in ``SHARE``), so it grows with the text, or
-those of the ``LEAST`` smallest hashes if that is more; it knows up to which hash it is complete. Two
-fingerprints are compared on the hashes for which both are: the n-th place of an anchor in one text is
-matched with its n-th in the other, and the longest chain of matches that stand in the same order in
-both counts, against all anchors of both. So an insert, a cut or many small edits move what follows and
-lose nothing, while anchors that match by chance or in another order do not count.
+edit changes only the syncmers it touches; the others stay anchors. A fingerprint holds all closed
+syncmers of the text, in its order, none left out; any k - s + 1 k-mers in a row hold one. In two
+fingerprints the n-th place of an anchor in one text is matched with its n-th in the other, and the
+longest chain of matches that stand in the same order in both counts, against all anchors of both. So an
+insert, a cut or many small edits move what follows and lose nothing, while anchors that match by chance
+or in another order do not count.
+
+Shown, a fingerprint is base64 of one record per anchor, little-endian: 8 bytes of hash and one byte of
+distance from the anchor before (from the start for the first), which is k - s + 1 at most.
 
 Texts shorter than k are one anchor. Each document needs the text that follows it in descending id,
 so rows are dealt by ranges of ids (and of text digests where ids are equal or null) of about
@@ -23,6 +25,7 @@ table gives an empty result; columns other than id and text play no part.
 
 from __future__ import annotations
 
+import base64
 import bisect
 import hashlib
 from collections.abc import Iterator
@@ -37,13 +40,12 @@ from rategauge.llm.text import whole
 from rategauge.plans.scratch import stored
 
 K, S = 24, 12
-#: Anchors of a long text, one in so many; of a short text, at least so many.
-SHARE, LEAST = 16, 32
 #: Bytes of text in a range of ids, and keys sampled for each to place the cuts.
 RANGE_BYTES, SAMPLES = 16 << 20, 100
+#: Fingerprints given out at a time.
+OUT_BYTES = 4 << 20
 
-_BELOW = np.uint64((1 << 64) // SHARE)
-_ALL = np.uint64((1 << 64) - 1)
+_RECORD = np.dtype([("hash", "<u8"), ("gap", "u1")])
 
 
 def _hashes(codes: np.ndarray, width: int) -> np.ndarray:
@@ -78,24 +80,25 @@ def closed_syncmers(text: str, k: int = K, s: int = S) -> tuple[np.ndarray, np.n
 
 @dataclass(frozen=True)
 class Fingerprint:
-    """Hashes and places of anchors in the order of the text; none up to ``limit`` is missing."""
+    """Hashes and places of all anchors in the order of the text."""
 
     hashes: np.ndarray
     places: np.ndarray
-    limit: np.uint64
 
     def shown(self) -> str:
-        return " ".join(f"{h:016x}:{p}" for h, p in zip(self.hashes.tolist(), self.places.tolist()))
+        records = np.empty(len(self.hashes), _RECORD)
+        records["hash"], records["gap"] = self.hashes, np.diff(self.places, prepend=0)
+        return base64.b64encode(records.tobytes()).decode()
 
 
 def fingerprint(text: str) -> Fingerprint:
-    hashes, at = closed_syncmers(text)
-    limit = _ALL
-    if len(hashes) > LEAST:
-        limit = max(_BELOW, np.partition(hashes, LEAST - 1)[LEAST - 1])
-        near = hashes <= limit
-        hashes, at = hashes[near], at[near]
-    return Fingerprint(hashes, at, limit)
+    return Fingerprint(*closed_syncmers(text))
+
+
+def read_fingerprint(shown: str) -> Fingerprint:
+    """The fingerprint that is shown so."""
+    records = np.frombuffer(base64.b64decode(shown), _RECORD)
+    return Fingerprint(records["hash"].copy(), np.cumsum(records["gap"], dtype=np.int64))
 
 
 def _tokens(hashes: np.ndarray) -> np.ndarray:
@@ -125,8 +128,7 @@ def chain(a: np.ndarray, b: np.ndarray) -> int:
 
 def likeness(a: Fingerprint, b: Fingerprint) -> float:
     """Anchors on the longest chain, as a share of the anchors of both."""
-    limit = min(a.limit, b.limit)
-    x, y = a.hashes[a.hashes <= limit], b.hashes[b.hashes <= limit]
+    x, y = a.hashes, b.hashes
     if not len(x) or not len(y):
         return float(len(x) == len(y))
     both = chain(_tokens(x), _tokens(y))
@@ -202,13 +204,16 @@ def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Dat
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         out: list[tuple] = []
+        size = 0  # of the fingerprints in ``out``
 
         def close(row, following):
+            nonlocal size
             (_, own, t, mark), (_, _, u, other) = row, following
             new = edited(t, u)
             changed = fingerprint(new)
             digest = hashlib.sha256(new.encode()).hexdigest()
             out.append((own, len(t), digest, mark.shown(), changed.shown(), likeness(mark, changed), likeness(mark, other)))
+            size += len(out[-1][3]) + len(out[-1][4])
 
         def rows():
             for batch in pieces(batches):
@@ -225,9 +230,9 @@ def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Dat
                     done = of
             elif done != of:
                 held = (of, own, t, fingerprint(t))
-            if len(out) >= 500:
+            if size >= OUT_BYTES:
                 yield _batch(out)
-                out = []
+                out, size = [], 0
         if out:
             yield _batch(out)
 

@@ -79,3 +79,20 @@ def test_every_row_and_its_successor(spark, monkeypatch, parts):
         near = syncmers.likeness(mark, changed), syncmers.likeness(mark, syncmers.fingerprint(u))
         want.append((i, len(t), digest(new), mark.shown(), changed.shown(), *near))
     assert sorted(map(tuple, syncmers.fingerprints(frame).collect()), key=repr) == sorted(want, key=repr)
+
+
+@pytest.mark.parametrize("n", [0, 1, 3, 60, 5000])
+def test_no_anchor_is_left_out(n):
+    text = " ".join(text_of(n))
+    mark = syncmers.fingerprint(text)
+    hashes, at = syncmers.closed_syncmers(text)
+    assert mark.hashes.tolist() == hashes.tolist() and mark.places.tolist() == at.tolist()
+    read = syncmers.read_fingerprint(mark.shown())
+    assert read.hashes.tolist() == hashes.tolist() and read.places.tolist() == at.tolist()
+
+
+def test_one_changed_word_in_a_long_text_is_seen():
+    """Each anchor counts: a share of them could miss the change and call the texts alike."""
+    w = text_of(3000)
+    for k in range(0, 3000, 100):
+        assert like(w, [*w[:k], "qqqqqqqq", *w[k + 1 :]]) < 1.0
