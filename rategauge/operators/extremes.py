@@ -16,16 +16,23 @@ Each summary therefore keeps the first record it leaves out, its edge.  All othe
 left out lie at the edge or beyond.  If the edge's percentage is strictly worse than
 that of the ``k``-th record of the merged list, so are theirs, and the list is
 exact.  Otherwise the group is named as short and ranked from its records.
+
+A group so small that both sides together would hold each of its records once or
+more is kept whole instead: its records stand there once and are neither ranked nor
+shuffled.  Where all parts of a group are whole its lists need no summary; and if it
+has no more than ``k`` records, both lists are all of them.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from rategauge.operators.rank import OVER, UNDER, tie_break
+from rategauge.operators.rank import BOTH, OVER, UNDER, deviation_order, tie_break
 from rategauge.roles import LISTING, Roles
 
 SIDES = (OVER, UNDER)
+#: Side of the records of a group that is kept whole.
+WHOLE = "whole"
 
 
 def extreme_prices(clean: DataFrame, k: int, by: list[str], roles: Roles = LISTING) -> DataFrame:
@@ -43,6 +50,38 @@ def extreme_prices(clean: DataFrame, k: int, by: list[str], roles: Roles = LISTI
     return sides[0].unionByName(sides[1])
 
 
+def fits_whole(count: Column, k: int) -> Column:
+    """True for a group of ``count`` records that is no longer than both sides with their edges."""
+    return count <= 2 * (int(k) + 1)
+
+
+def whole_records(clean: DataFrame, k: int) -> DataFrame:
+    """Records of groups kept whole, in the shape of :func:`extreme_prices`."""
+    return clean.select(F.lit(WHOLE).alias("side"), F.lit(0).alias("place"), F.lit(int(k)).alias("kept"), *clean.columns)
+
+
+def on_sides(extremes: DataFrame) -> DataFrame:
+    """The records kept whole as rows of either side, next to the rows of groups that are not."""
+    sides = F.when(F.col("side") == WHOLE, F.array(*map(F.lit, SIDES))).otherwise(F.array("side"))
+    return extremes.withColumn("side", F.explode(sides))
+
+
+def whole_lists(diffs: DataFrame, k: int, keys: list[str], roles: Roles = LISTING) -> DataFrame:
+    """Lists of groups all of whose records are here, with ``side`` saying in which of them a record stands.
+
+    Only groups of more than ``k`` records are ranked.
+    """
+    few = diffs.filter(F.col("listing_count") <= int(k)).withColumn("side", F.lit(BOTH))
+    many = diffs.filter(F.col("listing_count") > int(k))
+    for side in SIDES:
+        order = Window.partitionBy(*keys[::-1]).orderBy(deviation_order(side), *tie_break(diffs, roles))
+        many = many.withColumn(f"place_{side}", F.row_number().over(order))
+    over, under = (F.col(f"place_{side}") <= int(k) for side in SIDES)
+    side = F.when(over & under, BOTH).when(over, OVER).when(under, UNDER)
+    many = many.withColumn("side", side).filter(over | under)
+    return few.unionByName(many.select(*few.columns)).drop("place", "kept")
+
+
 def _worse() -> Column:
     """Grows from the best to the worst of a side; NULL, the last, as in the ranking."""
     pct = F.col("pct_diff")

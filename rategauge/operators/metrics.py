@@ -37,7 +37,9 @@ def price_diffs(clean: DataFrame, averages: DataFrame, roles: Roles = LISTING) -
     A plain equi-join.  With ``averages`` read from a stored table Catalyst
     knows its size and picks the join.  Where ``averages`` is still an
     unexecuted aggregate, prefer :func:`rategauge.plans.deviations.deviations`,
-    which checks the size first and keeps hot groups apart.
+    which checks the size first and keeps hot groups apart.  The group is the first
+    key: where both sides are sorted it tells more rows apart than the month.
     """
-    joined = clean.join(averages, ["year_month", roles.group], "inner")
-    return with_deviation(joined)
+    keys = ["year_month", roles.group]
+    joined = clean.join(averages, keys[::-1], "inner")
+    return with_deviation(joined.select(*keys, *(c for c in joined.columns if c not in keys)))

@@ -10,6 +10,8 @@ from rategauge.roles import LISTING, Roles
 
 OVER = "over"
 UNDER = "under"
+#: Side of a stored record that stands in both lists.
+BOTH = "both"
 
 
 def check_side(side: str) -> str:
@@ -18,6 +20,11 @@ def check_side(side: str) -> str:
     return side
 
 
+def of_side(side: str) -> Column:
+    """True for a stored record that stands in this side's list."""
+    return F.col("side").isin(check_side(side), BOTH)
+
+
 def tie_break(df: DataFrame, roles: Roles) -> list[Column]:
     """Ascending ids, then what else sets two records apart.
 

@@ -23,19 +23,20 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rategauge.functions import exact_sum, exact_total, mean_of
 from rategauge.operators.clean import classify
-from rategauge.operators.extremes import extreme_prices, merged_lists
+from rategauge.operators.extremes import WHOLE, merged_lists, on_sides, whole_lists
 from rategauge.operators.quality import quality_totals
 from rategauge.operators.rank import OVER, UNDER, top_over_under
 from rategauge.operators.tracking import add_tracking, file_name_column
 from rategauge.plans.deviations import join_deviations
 from rategauge.plans.manifest import BaseMoved, Manifest, Part, publish
 from rategauge.plans.scratch import stored
+from rategauge.plans.summaries import of_groups, summaries
 from rategauge.plans.store import ACCEPTED, MERGE, OUTCOME, REJECTED, RUN, RUN_MONTH, Store
 from rategauge.roles import LISTING, Roles
 from rategauge.schemas import AUDIT_TABLE, average_table, classified_table, extremes_table, ranked_table, states_table
 from rategauge.sinks.files import write_parquet
 from rategauge.sources.guards import require_rows
-from rategauge.sources.listings import month_file, read_listings
+from rategauge.sources.listings import listing_parts, month_file, united
 from rategauge.sources.tables import SIDE
 
 SUCCESS = "SUCCESS"
@@ -101,13 +102,14 @@ def side_by_side(spark: SparkSession, *writes: Callable[[], object]) -> None:
 def _store_classified(store: Store, job: _Job) -> DataFrame:
     """The only pass over the raw files.  Files are sorted by month, which costs no shuffle."""
     roles, paths = job.run.roles, list(job.files.values())
-    read = read_listings(store.spark, paths, multi_line=job.run.multi_line)
-    require_rows(read, ", ".join(paths))
-    raw = read.select(
+    parts = listing_parts(store.spark, paths, multi_line=job.run.multi_line)
+    require_rows(united(parts), ", ".join(paths))
+    columns = (
         *(F.col(name).cast("string").alias(name) for name in roles.columns),
         file_name_column().alias("source_file"),
         job.run_month.alias(RUN_MONTH),
     )
+    raw = united([part.select(*columns) for part in parts])
     schema = classified_table(roles)
     rows = job.tracked(classify(raw, roles), F.col("source_file"))
     outcome = F.when(F.col("reject_reason").isNull(), ACCEPTED).otherwise(REJECTED)
@@ -150,16 +152,16 @@ def _store_run(store: Store, job: _Job) -> dict[str, Part]:
     clean = records.filter(F.col(OUTCOME) == ACCEPTED)
     clean = clean.select(RUN_MONTH, *roles.columns, "price_num", "year_month", "source_file")
     sums = clean.groupBy(*keys).agg(F.count("*").alias("listing_count"), exact_total(F.col("price_num")).alias("cents"))
-    extremes = extreme_prices(clean, job.run.top_k, keys, roles)
     counts = quality_totals(records, [RUN_MONTH, "source_file", "year_month"])
     side_by_side(
         store.spark,
         lambda: write_parquet(sums.select(*states_table(roles).names), job.folder(store, "states")),
-        lambda: write_parquet(extremes.select(*extremes_table(roles).names), job.folder(store, "extremes")),
         lambda: _store_audit(store, job, SUCCESS, "completed", counts),
     )
-
     states = store.read("states", states_table(roles), [f"{RUN}={job.id}"])
+    extremes = summaries(clean, states, job.run.top_k, keys, roles)
+    write_parquet(extremes.select(*extremes_table(roles).names), job.folder(store, "extremes"))
+
     held: dict[str, list[str]] = {month: [] for month in job.files}
     for run_month, month in states.select(RUN_MONTH, "year_month").distinct().collect():
         held[run_month].append(month)
@@ -179,13 +181,34 @@ def merged_averages(store: Store, months: set[str]) -> DataFrame:
 
 
 def merged_top_lists(store: Store, averages: DataFrame, months: set[str], k: int) -> DataFrame:
-    """Both sides' lists from the extremes of all live runs.
+    """Both sides' lists from the extremes of all live runs; a record of both may stand there once.
+
+    Groups that every run kept whole are ranked from what they kept, the others by
+    their extremes; so are all where whole groups hold the fewer rows.
+    """
+    roles = store.roles
+    keys = ["year_month", roles.group]
+    extremes, whole = store.extremes(months), F.col(SIDE) == WHOLE
+    sizes = dict(extremes.groupBy(whole).count().collect())
+    if sizes.get(True, 0) <= sizes.get(False, 0):
+        return _settled_lists(store, on_sides(extremes) if True in sizes else extremes, averages, months, k)
+    if False not in sizes:
+        return whole_lists(join_deviations(extremes, averages, roles), k, keys, roles).drop(RUN_MONTH)
+    cut = stored(extremes.filter(~whole).groupBy(*keys).agg(F.count("*").alias("listing_count")), "cut")
+    rest = on_sides(of_groups(extremes, cut, keys, "left_semi", roles))
+    extremes = of_groups(extremes, cut, keys, "left_anti", roles)
+    lists = whole_lists(join_deviations(extremes, averages, roles), k, keys, roles).drop(RUN_MONTH)
+    return lists.unionByName(_settled_lists(store, rest, averages, months, k))
+
+
+def _settled_lists(store: Store, extremes: DataFrame, averages: DataFrame, months: set[str], k: int) -> DataFrame:
+    """Both sides' lists from extremes of either side.
 
     Records are read only of groups whose extremes do not settle their list.
     """
     roles = store.roles
     keys = ["year_month", roles.group]
-    extremes = join_deviations(store.extremes(months), averages, roles)
+    extremes = join_deviations(extremes, averages, roles)
     lists, short = merged_lists(stored(extremes, "extremes"), k, keys, roles)
     lists, short = lists.drop(RUN_MONTH), stored(short, "short")
     if short.isEmpty():
@@ -230,8 +253,8 @@ def _merge(store: Store, job: _Job, parts: dict[str, Part]) -> Manifest:
         write_parquet(averages, store.path("avg_price", f"{MERGE}={name}"), ["year_month"])
         held = after.averages().filter(F.col("year_month").isin(sorted(months)))
         held = held.select("year_month", roles.group, "listing_count", "avg_price")
-        lists = job.tracked(merged_top_lists(after, held, months, k), F.col("source_file"))
-        lists = lists.select(*ranked_table(roles).names, SIDE).hint("rebalance", F.col("year_month"))
+        lists = merged_top_lists(after, held, months, k).hint("rebalance", F.col("year_month"))
+        lists = job.tracked(lists, F.col("source_file")).select(*ranked_table(roles).names, SIDE)
         write_parquet(lists, store.path("top_priced", f"{MERGE}={name}"), ["year_month"])
     return manifest
 

@@ -8,7 +8,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from rategauge.operators.rank import check_side
+from rategauge.operators.rank import of_side
 from rategauge.plans.manifest import Manifest, current
 from rategauge.roles import LISTING, Roles
 from rategauge.schemas import (
@@ -115,4 +115,4 @@ class Store:
         """One side of the top lists; ``top_k`` records per data month and group."""
         schema = ranked_table(self.roles)
         rows = self._merged("top_priced", schema, month, SIDE)
-        return rows.filter(F.col(SIDE) == check_side(side)).select(*schema.names)
+        return rows.filter(of_side(side)).select(*schema.names)

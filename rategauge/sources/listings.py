@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
@@ -67,6 +68,24 @@ def read_listings(
     those without such fields are split into blocks.  ``multi_line`` says so instead,
     for all files, and saves the test.
     """
+    return united(listing_parts(spark, path, schema, infer_schema, multi_line))
+
+
+def united(parts: Sequence[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
+
+
+def listing_parts(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    schema: StructType | None = None,
+    infer_schema: bool = False,
+    multi_line: bool | None = None,
+) -> list[DataFrame]:
+    """:func:`read_listings` before files that are split and files that are not are united.
+
+    Of a part, unlike of their union, ``_metadata`` can be selected.
+    """
     paths = [path] if isinstance(path, str) else list(path)
 
     def read(paths: Sequence[str], multi_line: bool) -> DataFrame:
@@ -79,8 +98,8 @@ def read_listings(
 
     with reading(", ".join(paths)):
         if multi_line is not None:
-            return read(paths, multi_line)
+            return [read(paths, multi_line)]
         broken, plain = broken_files(spark, paths)
         if infer_schema or not plain or not broken:
-            return read(paths, bool(broken) or not plain)
-        return read(plain, False).unionByName(read(broken, True))
+            return [read(paths, bool(broken) or not plain)]
+        return [read(plain, False), read(broken, True)]

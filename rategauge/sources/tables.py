@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from rategauge.operators.rank import OVER, UNDER, check_side
+from rategauge.operators.rank import OVER, UNDER, check_side, of_side
 from rategauge.schemas import (
     AVERAGE_CSV,
     AVERAGE_TABLE,
@@ -74,7 +74,7 @@ def read_ranked_table(
     if fmt == "csv":
         return read_table(spark, path, RANKED_CSV, fmt, multi_line)
     table = read_table(spark, path, _with_partitions(RANKED_TABLE, SIDE), fmt)
-    chosen = _of_month(table.filter(F.col(SIDE) == side), month)
+    chosen = _of_month(table.filter(of_side(side)), month)
     return chosen.select(*RANKED_TABLE.names)
 
 
