@@ -19,7 +19,6 @@ import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from rategauge.llm import repeats
-from rategauge.llm.arrays import hashed_words
 from rategauge.llm.text import words
 from rategauge.plans.scratch import stored
 
@@ -29,7 +28,7 @@ WORDS = repeats.Tokens(
     width=WIDTH,
     k=GRAM,
     kind=np.uint64,
-    values=hashed_words,
+    values=repeats.word_values,
     strings=repeats.word_strings,
     glue=b" ",
     count=lambda text: F.size(words(text)).cast("long"),

@@ -169,6 +169,49 @@ def test_windows_of_one_hash_are_told_apart():
     assert repeats.repeated(values, np.arange(9, dtype=np.uint64), starts, 3).tolist() == [False] * 4
 
 
+class Direct:
+    """Stands for a table; what would run in a task is handed back."""
+
+    def mapInArrow(self, run, schema):
+        return run
+
+
+def segment_rows(texts, tokens):
+    import pyarrow as pa
+
+    ids = pa.array(range(len(texts)), pa.int64())
+    batch = pa.record_batch([ids, ids, pa.array(texts, pa.string())], names=["id", "th", "text"])
+    return [tuple(r.values()) for out in repeats.segment_table(Direct(), tokens)(iter([batch])) for r in out.to_pylist()]
+
+
+@pytest.mark.parametrize("tokens", [suffix_levels.BYTES, suffix_trees.WORDS], ids=["bytes", "words"])
+def test_memory_does_not_grow_with_a_text(tokens):
+    """A text longer than a piece is taken alone, but hashed in parts."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    text = " ".join(map(str, range(600_000)))
+    batch = pa.record_batch([pa.array([1]), pa.array([1]), pa.array([text])], names=["id", "th", "text"])
+    tracemalloc.start()
+    try:
+        rows = sum(out.num_rows for out in repeats.segment_table(Direct(), tokens)(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert rows > 1000 and peak < 16 * len(text)
+
+
+@pytest.mark.parametrize("tokens", [suffix_levels.BYTES, suffix_trees.WORDS], ids=["bytes", "words"])
+def test_segments_do_not_depend_on_where_parts_end(tokens, monkeypatch):
+    texts = [r[1] for r in EDGES] + ["a" * 900, prose(5, 900), prose(5, 300) + "  " + prose(6, 400), None, "\u00e9 " * 500]
+    whole = segment_rows(texts, tokens)
+    for chunk in (tokens.width, tokens.width + 1, 999):
+        monkeypatch.setattr(repeats, "CHUNK", chunk)
+        monkeypatch.setattr(repeats, "PIECE", chunk)
+        assert segment_rows(texts, tokens) == whole and len(whole) > 20
+
+
 def test_trees(edges):
     docs = [(r[0], r[1]) for r in EDGES]
     got = Counter((r[0], r[1], r[2], r[4]) for r in suffix_trees.deduplicated(edges).collect())
